@@ -21,6 +21,6 @@ def lenient_int(text: Column) -> Column:
     values beyond the int range are NULL. Going through double would accept ``'1e3'``, so the
     fraction is removed from the text instead.
     """
-    whole = F.regexp_replace(text, rf"\.[0-9]*({_EDGE})$", "$1").try_cast("int")
+    whole = F.regexp_replace(text, rf"([0-9])\.[0-9]*({_EDGE})$", "$1$2").try_cast("int")
     only_fraction = text.rlike(rf"^{_EDGE}[+-]?\.[0-9]*{_EDGE}$")
     return F.when(only_fraction, F.lit(0)).otherwise(whole)

@@ -6,7 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from chronotally.session import adaptive_on
+from chronotally.session import adaptive_on, settings
+
+# Opening files, not bytes, is the work of writing many small folders: do not let Spark merge
+# them into one task for being small. Keys stay whole, so the number of files is the same.
+_MANY_SMALL_FOLDERS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
 
 SAVE_MODES = ("overwrite", "errorifexists", "append")
 
@@ -38,9 +42,13 @@ def write_partitioned(
     """Write one directory per key. The sort the writer needs anyway also orders the rows by
     ``order_within``, which gives every row group a narrow range of it to skip by."""
     rows = spread_by(df, keys) if spread else df
-    rows.sortWithinPartitions(*keys, *order_within).write.mode(_checked(mode)).partitionBy(
-        *keys
-    ).parquet(path)
+    writer = (
+        rows.sortWithinPartitions(*keys, *order_within)
+        .write.mode(_checked(mode))
+        .partitionBy(*keys)
+    )
+    with settings(df.sparkSession, _MANY_SMALL_FOLDERS):
+        writer.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
