@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,11 @@ def write_gold(df: DataFrame, spec: RollupSpec, root: str, ordered: bool = True)
     staged = run_folder(spark, "rollups")
     all_rollups(df, spec).write.partitionBy("output").parquet(staged)
     tagged = read_output(spark, staged)
-    for name in spec.outputs():
+
+    def write(name: str) -> None:
         write_table(one_rollup(tagged, spec, name, ordered), f"{root.rstrip('/')}/{name}")
+
+    # Small jobs, independent of each other: let Spark run them side by side.
+    with ThreadPoolExecutor(len(spec.outputs())) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), spec.outputs()))
     return spec.outputs()
