@@ -1,4 +1,4 @@
-from chronotally.sources.bronze import has_open_quotes, read_bronze
+from chronotally.sources.bronze import lines_are_records, read_bronze
 from chronotally.sources.files import data_files, has_files, list_files
 from chronotally.sources.tables import (
     read_cleaned,

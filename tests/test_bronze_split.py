@@ -1,0 +1,89 @@
+"""Multi-line CSV read from many splits gives the rows of a scan from start to end."""
+
+import csv
+import io
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as limits
+from hypothesis import strategies as st
+
+from chronotally.session import settings
+from chronotally.sources import read_bronze
+from chronotally.sources import bronze
+
+SMALL_SPLITS = {
+    "spark.sql.files.maxPartitionBytes": "64",
+    "spark.sql.files.openCostInBytes": "0",
+    "spark.sql.files.minPartitionNum": "1",
+}
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def both(spark, folder):
+    with settings(spark, SMALL_SPLITS):
+        split = bronze._read_joined(spark, folder, read_bronze(spark, folder, multi_line=True).columns)
+        whole = read_bronze(spark, folder, multi_line=True)
+        return None if split is None else rows(split), rows(whole)
+
+
+def save(path, table, end="\n", **style):
+    text = io.StringIO()
+    csv.writer(text, lineterminator=end, **style).writerows(table)
+    path.write_bytes(text.getvalue().encode())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_long_records_over_many_splits(spark, tmp_path, end):
+    table = [["id", f"na{end}me", "note"]]
+    for i in range(60):
+        note = f'said "{i}",\n\nthen, "again"\n' * (i % 5) if i % 3 else f"plain {i}"
+        table.append([str(i), "é" * (i % 4), note])
+    for part in range(2):
+        save(tmp_path / f"p{part}.csv", [table[0], *table[1 + part * 30 : 31 + part * 30]], end)
+    split, whole = both(spark, str(tmp_path))
+    assert split == whole and sum(whole.values()) == 60
+
+
+def test_ragged_and_blank_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\na,b,c\n\n1,2\n"x\n\ny",4,5,6\n\n7,,""\n')
+    split, whole = both(spark, str(tmp_path))
+    assert split == whole == Counter(
+        [("1", "2", None), ("x\n\ny", "4", "5"), ("7", None, None)]
+    )
+
+
+@pytest.mark.parametrize("text", ['a,b\n5" pipe,1\n2,"x\ny"\n', 'a,b\n1,"x\ny"z\n', 'a,b\n  \n1,"x\ny"\n', 'a,b\n1,"x\r\ny"\n', 'a,b\r\n1\r,"x\ny"\r\n'])
+def test_irregular_files_are_left_to_the_whole_scan(spark, tmp_path, text):
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    assert both(spark, str(tmp_path))[0] is None
+    auto = read_bronze(spark, str(tmp_path), split_above=0)
+    assert rows(auto) == rows(read_bronze(spark, str(tmp_path), multi_line=True))
+
+
+def test_size_decides(spark, tmp_path):
+    save(tmp_path / "a.csv", [["a", "b"], ["1", "x\ny"], ["2", "z"]])
+    path = str(tmp_path)
+    one_task = read_bronze(spark, path)
+    joined = read_bronze(spark, path, split_above=0)
+    named = read_bronze(spark, path, columns=["p", "q"], split_above=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan and "from_csv" in plan
+    assert rows(one_task) == rows(joined) == rows(named) == Counter([("1", "x\ny"), ("2", "z")])
+    assert named.columns == ["p", "q"] and joined.schema == one_task.schema
+
+
+field = st.text(alphabet='ab,"\n é', max_size=12)
+
+
+@limits(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(field, min_size=3, max_size=3), min_size=1, max_size=25))
+def test_any_quoted_table(spark, tmp_path_factory, table):
+    folder = tmp_path_factory.mktemp("csv")
+    save(folder / "a.csv", [["x", "y", "z"], *table], quoting=csv.QUOTE_ALL)
+    split, whole = both(spark, str(folder))
+    assert split == whole

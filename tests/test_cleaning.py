@@ -10,7 +10,7 @@ from chronotally import operators as op
 from chronotally import plans
 from chronotally.session import settings
 from chronotally.sinks import write_partitioned, write_table
-from chronotally.sources import has_open_quotes, read_bronze, read_cleaned, schema_of
+from chronotally.sources import lines_are_records, read_bronze, read_cleaned, schema_of
 from chronotally.spec import CRASH_RECORDS
 from crash_rows import BAD_TIMES, CLEAN, COLUMNS, RAW_ROWS, raw, write_raw
 
@@ -155,20 +155,24 @@ def test_one_shuffle_and_one_sort_per_write(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "text, open_quotes",
+    "text, by_line",
     [
-        ("a,b\n1,2\n", False),
-        ('a,b\n"x, ""y""",2\n', False),
-        ('a,b\n"x\ny",2\n', True),
-        ('a,b\n1,5" pipe\n', True),
-        ('a,b\n5" x,"y\nz",1\n', True),
-        ("a,b\n  \n1,2\n", True),
-        ("a,b\r\n\"1\",2\r\n", False),
+        ("a,b\n1,2\n", True),
+        ('a,b\n"x, ""y""",2\n', True),
+        ('a,b\r\n"1",2\r\n\r\n3,4\r\n', True),
+        ("", True),
+        ('a,b\n"x\ny",2\n', False),
+        ('a,b\n1,5" pipe\n', False),
+        ('a,b\n5" x,"y\nz",1\n', False),
+        ("a,b\n  \n1,2\n", False),
+        ("a,b\n1,2\r\n3,4\n", False),
+        ("a,b\n1\r2,3\n", False),
     ],
 )
-def test_open_quotes(spark, tmp_path, text, open_quotes):
+def test_lines_are_records(spark, tmp_path, text, by_line):
     path = tmp_path / "f.csv"
     path.write_bytes(text.encode())
-    assert has_open_quotes(spark, str(path)) is open_quotes
-    auto = [tuple(r) for r in read_bronze(spark, str(path)).collect()]
-    assert auto == [tuple(r) for r in read_bronze(spark, str(path), multi_line=True).collect()]
+    assert lines_are_records(spark, str(path)) is by_line
+    auto = [tuple(r) for r in read_bronze(spark, str(path), ["a", "b"]).collect()]
+    whole = read_bronze(spark, str(path), ["a", "b"], multi_line=True)
+    assert auto == [tuple(r) for r in whole.collect()]
