@@ -46,13 +46,19 @@ def _in_scope(spec: RecordSpec) -> Column:
     return F.coalesce(F.col("year").between(spec.first_year, spec.last_year), F.lit(False))
 
 
-def write_clean(raw: DataFrame, spec: RecordSpec, path: str, mode: str = "overwrite") -> CleanCounts:
+def write_clean(
+    raw: DataFrame,
+    spec: RecordSpec,
+    path: str,
+    mode: str = "overwrite",
+    time_order: bool = False,
+) -> CleanCounts:
     """Clean and store in one pass over the raw text, counting the dropped rows on the way.
 
     The counts are taken behind the shuffle, in the stage that writes: Spark adds the counts of
     a task of that last stage once, however often an executor is lost, while those of an
     earlier stage would be added again. Rows to be dropped travel there as two small flags
-    with every column NULL.
+    with every column NULL. ``time_order`` sorts the rows of each file by event time.
     """
     records = typed_records(raw, spec)
     columns = records.columns
@@ -73,7 +79,7 @@ def write_clean(raw: DataFrame, spec: RecordSpec, path: str, mode: str = "overwr
         counted.filter(kept).select(*columns),
         path,
         ["year", "month"],
-        order_within=[spec.event_time],
+        order_within=[spec.event_time] if time_order else (),
         mode=mode,
         spread=False,
     )

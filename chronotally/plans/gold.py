@@ -1,4 +1,4 @@
-"""All roll-up outputs of a cleaned table, from one scan of it."""
+"""All roll-up outputs of a cleaned table."""
 
 from __future__ import annotations
 
@@ -9,42 +9,33 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotally.operators.rollups import sums
 from chronotally.functions.calendar import year_month
+from chronotally.operators.rollups import breakdown, sums
 from chronotally.session import run_folder
 from chronotally.sinks.parquet import write_table
 from chronotally.sources.tables import read_output
 from chronotally.spec import RollupSpec
 
 _ROWS = "_rows"
+_TIME_KEYS = ("window_start", "window_end", "date", "year", "month")
 
 
-def _grouping_sets(spec: RollupSpec) -> Mapping[str, tuple[str, ...]]:
-    """Output table to its keys. The two monthly outputs share one set."""
-    return {
-        spec.by_window: ("window_start", "window_end"),
-        spec.by_date: ("date",),
-        spec.sums_by_month: ("year", "month"),
-        **{out: (column,) for out, column in spec.categories.items()},
-    }
+def _stored_sum(column: str) -> str:
+    return f"_sum_{column}"
 
 
-def all_rollups(df: DataFrame, spec: RollupSpec) -> DataFrame:
-    """Every output at once, as rows tagged with ``output``: one scan, one shuffle.
+def time_rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
+    """Counts and sums per window, split where a window touches two dates.
 
-    The table is far larger than all roll-ups together, so reading it once per output, or
-    caching it, costs more than the few grouping keys that are added to each row here. Rows are
-    aggregated inside the task before the shuffle.
+    Few rows (about one per hour of history), from which every output by time follows without
+    another scan. Only the event time, the measures and the partition columns are read.
     """
     ts = F.col(spec.event_time)
-    sets = _grouping_sets(spec)
-    keys = list(dict.fromkeys(k for columns in sets.values() for k in columns))
-    measures = list(dict.fromkeys([*spec.window_sums.values(), *spec.month_sums.values()]))
-
-    # F.window would drop rows without a time, which still count in the other outputs.
-    epoch = F.lit("1970-01-01").cast(df.schema[spec.event_time].dataType)
+    measures = dict.fromkeys([*spec.window_sums.values(), *spec.month_sums.values()])
     parts = {} if {"year", "month"} <= set(df.columns) else year_month(ts)
-    keyed = (
+    # F.window would drop rows without a time, which still count by date and month.
+    epoch = F.lit("1970-01-01").cast(df.schema[spec.event_time].dataType)
+    return (
         df.withColumns({"_w": F.window(F.coalesce(ts, epoch), spec.window_size), **parts})
         .withColumns(
             {
@@ -53,70 +44,66 @@ def all_rollups(df: DataFrame, spec: RollupSpec) -> DataFrame:
                 "date": F.to_date(ts),
             }
         )
-        .select(*keys, *[F.col(m).alias(f"_sum_{m}") for m in measures])
+        .groupBy(*_TIME_KEYS)
+        .agg(F.count("*").alias(_ROWS), *sums({_stored_sum(m): m for m in measures}))
     )
-    grouped = keyed.groupingSets(list(sets.values()), *keys).agg(
-        F.grouping_id(*keys).alias("_set"),
-        F.count("*").alias(_ROWS),
-        *sums({f"_sum_{m}": f"_sum_{m}" for m in measures}),
+
+
+def outputs_by_time(base: DataFrame, spec: RollupSpec) -> dict[str, DataFrame]:
+    """The outputs that follow from :func:`time_rollup`, each in time order."""
+
+    def regroup(rows: DataFrame, *keys: str, count: str, named: Mapping[str, str]) -> DataFrame:
+        return (
+            rows.groupBy(*keys)
+            .agg(
+                F.sum(_ROWS).alias(count),
+                *sums({out: _stored_sum(column) for out, column in named.items()}),
+            )
+            .orderBy(*keys)
+        )
+
+    windows = regroup(
+        base.filter(F.col("window_start").isNotNull()),
+        "window_start",
+        "window_end",
+        count=spec.window_count,
+        named=spec.window_sums,
     )
-    # A set's id has a bit for every key that is not in it, the first key highest.
-    ids = {out: int("".join("0" if k in cols else "1" for k in keys), 2) for out, cols in sets.items()}
-    output = F.coalesce(*[F.when(F.col("_set") == i, F.lit(out)) for out, i in ids.items()])
-    timeless = (output == spec.by_window) & F.col("window_start").isNull()
-    return grouped.withColumn("output", output).filter(~timeless).drop("_set")
-
-
-def one_rollup(tagged: DataFrame, spec: RollupSpec, output: str, ordered: bool = False) -> DataFrame:
-    """The rows and columns of one output of :func:`all_rollups`."""
-    count = F.col(_ROWS).alias(spec.group_count)
-
-    def totals(named: Mapping[str, str]) -> list:
-        return [F.col(f"_sum_{column}").alias(out) for out, column in named.items()]
-
-    shapes = {
-        spec.by_window: (
-            spec.by_window,
-            [
-                F.col(_ROWS).alias(spec.window_count),
-                *totals(spec.window_sums),
-                "window_start",
-                "window_end",
-            ],
-            ["window_start"],
-        ),
-        spec.by_date: (spec.by_date, ["date", count], ["date"]),
-        spec.by_month: (spec.sums_by_month, ["year", "month", count], ["year", "month"]),
-        spec.sums_by_month: (
-            spec.sums_by_month,
-            ["year", "month", *totals(spec.month_sums), count],
-            ["year", "month"],
+    months = regroup(base, "year", "month", count=spec.group_count, named=spec.month_sums)
+    return {
+        spec.by_window: windows.select(
+            spec.window_count, *spec.window_sums, "window_start", "window_end"
         ),
-        **{
-            out: (out, [column, count], [F.desc(spec.group_count), F.asc_nulls_last(column)])
-            for out, column in spec.categories.items()
-        },
+        spec.by_date: regroup(base, "date", count=spec.group_count, named={}),
+        spec.by_month: months.select("year", "month", spec.group_count),
+        spec.sums_by_month: months.select("year", "month", *spec.month_sums, spec.group_count),
     }
-    stored_as, columns, order = shapes[output]
-    rows = tagged.filter(F.col("output") == stored_as).select(*columns)
-    return rows.orderBy(*order) if ordered else rows
 
 
-def write_gold(df: DataFrame, spec: RollupSpec, root: str, ordered: bool = True) -> list[str]:
+def outputs_by_category(df: DataFrame, spec: RollupSpec) -> dict[str, DataFrame]:
+    """One breakdown per category, each a scan of its one column."""
+    return {out: breakdown(df, column, spec.group_count) for out, column in spec.categories.items()}
+
+
+def write_gold(df: DataFrame, spec: RollupSpec, root: str) -> list[str]:
     """Write every output to its own folder below ``root`` and return their names.
 
-    The tagged roll-ups are stored once in the shared folder, so no output depends on another
-    scan of the table, also when an executor is lost on the way.
+    Each column of the table is read once: event time and measures for all outputs by time, a
+    category for its breakdown. The time roll-up is stored in the shared folder, so no output
+    depends on a second scan, also when an executor is lost. Independent jobs run side by side.
     """
     spark = df.sparkSession
-    staged = run_folder(spark, "rollups")
-    all_rollups(df, spec).write.partitionBy("output").parquet(staged)
-    tagged = read_output(spark, staged)
+    staged = run_folder(spark, "time-rollup")
 
-    def write(name: str) -> None:
-        write_table(one_rollup(tagged, spec, name, ordered), f"{root.rstrip('/')}/{name}")
+    def write(output: tuple[str, DataFrame]) -> None:
+        name, rows = output
+        write_table(rows, f"{root.rstrip('/')}/{name}")
 
-    # Small jobs, independent of each other: let Spark run them side by side.
     with ThreadPoolExecutor(len(spec.outputs())) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), spec.outputs()))
+        job = inheritable_thread_target(spark)(write)
+        categories = [pool.submit(job, o) for o in outputs_by_category(df, spec).items()]
+        write_table(time_rollup(df, spec), staged)
+        times = outputs_by_time(read_output(spark, staged), spec)
+        for done in [*categories, *[pool.submit(job, o) for o in times.items()]]:
+            done.result()
     return spec.outputs()

@@ -31,7 +31,7 @@ def write_replay(
     if chunking not in CHUNKINGS:
         raise ValueError(f"chunking must be one of {sorted(CHUNKINGS)}, not {chunking!r}")
     chunked = df.withColumn("chunk_key", CHUNKINGS[chunking](F.col(arrival or event_time)))
-    write_partitioned(chunked, path, ["chunk_key"], order_within=[event_time], mode=mode)
+    write_partitioned(chunked, path, ["chunk_key"], mode=mode)
 
 
 def chunk_keys(spark: SparkSession, path: str) -> list[date]:

@@ -144,10 +144,11 @@ def last_plan(spark):
     return runs.apply(runs.size() - 1).physicalPlanDescription()
 
 
-def test_one_shuffle_and_one_sort_per_write(spark, tmp_path):
+@pytest.mark.parametrize("time_order", [False, True])
+def test_one_shuffle_and_one_sort_per_write(spark, tmp_path, time_order):
     """The order asked for serves the writer too: it does not sort a second time."""
     raw_df = read_bronze(spark, write_raw(tmp_path / "raw.csv"))
-    plans.write_clean(raw_df, CRASH_RECORDS, str(tmp_path / "clean"))
+    plans.write_clean(raw_df, CRASH_RECORDS, str(tmp_path / "clean"), time_order=time_order)
     final = last_plan(spark).split("== Final Plan ==")[-1].split("== Initial Plan ==")[0]
     tree = final.split("\n\n(")[0]
     assert tree.count("Sort (") == 1 and tree.count("Exchange (") == 1

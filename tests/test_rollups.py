@@ -144,28 +144,31 @@ def test_zones(spark):
         assert op.window_alignment_checks(windows).first().passed
 
 
-def check_all_outputs(df, tagged):
-    windows = op.tumbling_windows(df, "CRASH_DATE", SUMS)
-    separate = {
-        "crashes_by_hour_window": windows,
-        "crashes_by_date": op.count_by_date(df, "CRASH_DATE"),
-        "crashes_by_month": op.count_by_month(df),
-        "injuries_by_month": op.sums_by_month(df, CRASH_ROLLUPS.month_sums),
-        **{out: op.breakdown(df, c) for out, c in CRASH_ROLLUPS.categories.items()},
-    }
-    assert list(separate) == CRASH_ROLLUPS.outputs()
-    for name, want in separate.items():
-        got = plans.one_rollup(tagged, CRASH_ROLLUPS, name, ordered=True)
-        assert got.dtypes == want.dtypes
-        assert sorted(map(str, values(got))) == sorted(map(str, values(want))), name
-
-
-def test_one_scan_gives_every_output(spark):
-    df = clean_frame(spark, [*ROWS, (None, 9, 9, "FOG"), (None, None, None, None)])
-    tagged = plans.all_rollups(df, CRASH_ROLLUPS)
-    plan = tagged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Scan ") == 1 and plan.count("Exchange ") == 1
-    check_all_outputs(df, tagged)
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_outputs_by_time_follow_from_one_scan(spark, tmp_path, zone):
+    late = datetime(2022, 1, 5, 18, 45)  # its hour touches two dates in a half-hour zone
+    early = datetime(2022, 1, 5, 18, 15)
+    rows = [*ROWS, (late, 1, 1, "X"), (early, 2, 0, "X"), (None, 9, 9, "FOG"), (None, None, None, None)]
+    clean_frame(spark, rows).write.parquet(str(tmp_path / "t"))
+    with settings(spark, {"spark.sql.session.timeZone": zone}):
+        df = spark.read.parquet(str(tmp_path / "t"))
+        base = plans.time_rollup(df, CRASH_ROLLUPS)
+        plan = base._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1
+        read = plan.split("ReadSchema: ")[1]
+        assert "CRASH_DATE" in read and "WEATHER" not in read
+        got = {**plans.outputs_by_time(base, CRASH_ROLLUPS), **plans.outputs_by_category(df, CRASH_ROLLUPS)}
+        want = {
+            "crashes_by_hour_window": op.tumbling_windows(df, "CRASH_DATE", SUMS, ordered=True),
+            "crashes_by_date": op.count_by_date(df, "CRASH_DATE"),
+            "crashes_by_month": op.count_by_month(df),
+            "injuries_by_month": op.sums_by_month(df, CRASH_ROLLUPS.month_sums),
+            **{out: op.breakdown(df, c) for out, c in CRASH_ROLLUPS.categories.items()},
+        }
+        assert list(got) == list(want) == CRASH_ROLLUPS.outputs()
+        for name in want:
+            assert got[name].dtypes == want[name].dtypes
+            assert values(got[name]) == values(want[name]), name
 
 
 def test_write_gold(spark, clean, tmp_path):
