@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Spark's text-to-integer cast ignores spaces and control characters at both ends.
 _EDGE = r"[\x00-\x20\x7f]*"
 
+# A number that fits an int whatever its digits, and any other number.
+_SHORT = rf"^{_EDGE}[+-]?[0-9]{{1,9}}(?:\.[0-9]*)?{_EDGE}$"
+_NUMBER = rf"^{_EDGE}[+-]?(?=[0-9.])[0-9]*\.?[0-9]*{_EDGE}$"
 _INT_RANGE = (-(2**31), 2**31 - 1)
 
 
@@ -25,7 +28,8 @@ def lenient_int(text: Column) -> Column:
     The shape is tested before the cast: ``try_cast`` alone is right too, but it raises and
     catches an exception for each bad text, some thirty times the cost of the test.
     """
-    number_like = text.rlike(rf"^{_EDGE}[+-]?(?=[0-9.])[0-9]*\.?[0-9]*{_EDGE}$")
     whole = F.substring_index(text, ".", 1)
     number = F.when(whole.rlike("[0-9]"), whole.try_cast("bigint")).otherwise(F.lit(0))
-    return F.when(number_like & number.between(*_INT_RANGE), number.cast("int"))
+    return F.when(text.rlike(_SHORT), whole.try_cast("int")).when(
+        text.rlike(_NUMBER) & number.between(*_INT_RANGE), number.cast("int")
+    )

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from chronotally.functions.casts import lenient_int, parse_time
 from chronotally.functions.calendar import year_month
 from chronotally.operators.checks import columns_required
-from chronotally.operators.filters import has_event_time, years_between
 from chronotally.sinks.parquet import spread_by, write_partitioned
 from chronotally.spec import RecordSpec
 
@@ -37,9 +36,14 @@ def typed_records(raw: DataFrame, spec: RecordSpec) -> DataFrame:
 
 
 def clean(raw: DataFrame, spec: RecordSpec) -> DataFrame:
-    """Records with a readable time in the years in scope."""
-    timed = has_event_time(typed_records(raw, spec), spec.event_time)
-    return years_between(timed, spec.first_year, spec.last_year)
+    """Records with a readable time in the years in scope.
+
+    Spark moves the filter below the parsing and parses again for each mention of the time, so
+    the years are a list, which is one mention and leaves out unreadable times as well.
+    """
+    return typed_records(raw, spec).filter(
+        F.col("year").isin(*range(spec.first_year, spec.last_year + 1))
+    )
 
 
 def _in_scope(spec: RecordSpec) -> Column:

@@ -33,14 +33,17 @@ def _ends_in_return(text: Column) -> Column:
 
 
 def _without_return(text: Column) -> Column:
-    return F.regexp_replace(text, r"\r\z", "")
+    return F.when(_ends_in_return(text), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(
+        text
+    )
 
 
 def _irregular(text: Column) -> Column:
     """A quote is left once the complete quoted fields are taken out, or there is a carriage
     return inside, or nothing but blanks."""
     bare = F.regexp_replace(text, _WHOLE_QUOTED_FIELD, "$1")
-    return bare.contains('"') | text.contains("\r") | text.rlike(r"^\s+$")
+    quotes = text.contains('"') & bare.contains('"')  # most lines have none to look at
+    return quotes | text.contains("\r") | text.rlike(r"^\s+$")
 
 
 def lines_are_records(spark: SparkSession, path: str | Sequence[str]) -> bool:
