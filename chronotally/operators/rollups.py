@@ -6,7 +6,7 @@ third of all rows still sends one row per task through the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,13 +142,21 @@ def monthly_series(months: DataFrame) -> DataFrame:
     return months.withColumn("period", period_label(F.col("year"), F.col("month"))).orderBy("period")
 
 
-def run_summary(df: DataFrame, event_time: str, elapsed_seconds: float | None = None) -> DataFrame:
-    """One row: first and last event time and the row count, all from a single pass."""
+def run_summary(
+    df: DataFrame,
+    event_time: str,
+    elapsed_seconds: float | None = None,
+    outputs: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row: first and last event time and the row count, all from a single pass; with the
+    run's outputs and the time it took where they are given."""
     out = df.agg(
         F.min(event_time).alias("first_event"),
         F.max(event_time).alias("last_event"),
         F.count("*").alias("rows_processed"),
     )
+    if outputs is not None:
+        out = out.withColumn("outputs", F.array(*map(F.lit, outputs)))
     if elapsed_seconds is not None:
         out = out.withColumn("elapsed_seconds", F.lit(float(elapsed_seconds)))
     return out

@@ -70,10 +70,21 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """On whatever file system the path names."""
+def _file_system(spark: SparkSession, path: str):
+    """The file system a path names, and the path as that system takes it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _file_system(spark, path)
+    return system.exists(hadoop_path)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, without looking into any of them."""
+    system, hadoop_path = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(hadoop_path)]
 
 
 @contextmanager

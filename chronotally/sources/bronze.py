@@ -101,7 +101,8 @@ def _largest_file(spark: SparkSession, path: str | Sequence[str]) -> int:
 
 
 def joined_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Records as text (``record``) and whether each is its file's ``header``, from any split.
+    """Records as text (``record``), whether each is its file's ``header``, and whether it is
+    ``irregular`` (see :func:`_read_joined`). Lines may come from any split.
 
     A line with an odd number of quotes opens or closes a quoted field, in turn. So the number of
     such lines ahead of a line in its file says whether it starts inside quotes, and half of it
@@ -109,13 +110,15 @@ def joined_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     splits of a file, then within each split; only lines of such records are grouped. The first
     line of a file says, as it does to Spark's reader, whether lines end in CR LF.
     """
+    file = F.col("_metadata.file_path")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = _lines(spark, path).select(
-        F.col("_metadata.file_path").alias("file"),
+        F.xxhash64(file).alias("file"),  # cheaper to move and sort by than the path
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("line"),
         "value",
         (quotes % 2).alias("odd"),
+        file.alias("path"),
     )
     splits = Window.partitionBy("file").orderBy("split")
     ahead = (Window.unboundedPreceding, -1)
@@ -124,19 +127,24 @@ def joined_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         .agg(
             F.sum("odd").alias("odd_lines"),
             F.min_by(_ends_in_return(F.col("value")), "line").alias("first_ends_in_return"),
+            F.min("path").alias("a_path"),
+            F.max("path").alias("z_path"),
         )
         .select(
             "file",
             "split",
             F.coalesce(F.sum("odd_lines").over(splits.rowsBetween(*ahead)), F.lit(0)).alias("before"),
             F.first("first_ends_in_return").over(splits).alias("returns"),
+            # Two paths with one hash: leave such files to the scan of whole files.
+            (F.min("a_path").over(splits) != F.max("z_path").over(splits)).alias("clash"),
         )
     )
     split = Window.partitionBy("file", "split")
     within = F.coalesce(F.sum("odd").over(split.orderBy("line").rowsBetween(*ahead)), F.lit(0))
     text = F.when(F.col("returns"), _without_return(F.col("value"))).otherwise(F.col("value"))
     counted = (
-        lines.join(before_split, ["file", "split"])
+        lines.drop("path")
+        .join(before_split, ["file", "split"])
         .withColumns({"before": F.col("before") + within, "value": text})
         .withColumn("first", F.min(F.when(F.col("value") != "", F.col("line"))).over(split))
         .withColumn("header", (F.col("split") == 0) & (F.col("line") == F.col("first")))
@@ -146,13 +154,21 @@ def joined_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     spanning = (
         counted.filter(~alone)
         .groupBy("file", F.floor(F.col("before") / 2).alias("number"))
-        .agg(F.array_join(pieces["value"], "\n").alias("record"), F.bool_or("header").alias("header"))
-        .select("record", "header")
+        .agg(
+            F.array_join(pieces["value"], "\n").alias("record"),
+            F.bool_or("header").alias("header"),
+            F.bool_or("clash").alias("clash"),
+        )
+        .select("record", "header", "clash")
     )
     single = counted.filter(alone & (F.col("value") != "")).select(
-        F.col("value").alias("record"), "header"
+        F.col("value").alias("record"), "header", "clash"
+    )
+    return single.unionByName(spanning).select(
+        "record",
+        F.coalesce("header", F.lit(False)).alias("header"),
+        (F.col("clash") | _irregular(F.col("record"))).alias("irregular"),
     )
-    return single.unionByName(spanning).withColumn("header", F.coalesce("header", F.lit(False)))
 
 
 def _read_joined(
@@ -161,9 +177,7 @@ def _read_joined(
     """Rows from joined records, or None where quotes or line ends are used in a way that only a
     reader going through the file from its start can follow."""
     stored = run_folder(spark, "records")
-    joined_records(spark, path).withColumn("irregular", _irregular(F.col("record"))).write.parquet(
-        stored
-    )
+    joined_records(spark, path).write.parquet(stored)
     records = spark.read.parquet(stored)
     if not records.filter("irregular").limit(1).isEmpty():
         return None

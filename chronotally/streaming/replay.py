@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.functions.calendar import week_start
-from chronotally.session import path_exists
+from chronotally.session import child_names, path_exists
 from chronotally.sinks.parquet import write_partitioned
 
+# How Spark names the folders of a partitioned table.
+_KEY = "chunk_key="
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
 CHUNKINGS = {"day": F.to_date, "week": week_start}
 
 
@@ -35,13 +39,10 @@ def write_replay(
 
 
 def chunk_keys(spark: SparkSession, path: str) -> list[date]:
-    """The chunks of a replay set in time order: at most one value per calendar day, taken from
-    the folder names."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    )
-    keys = files.select(F.col("chunk_key").cast("date")).filter("chunk_key is not null")
-    return [row.chunk_key for row in keys.distinct().orderBy("chunk_key").collect()]
+    """The chunks of a replay set in time order: at most one per calendar day, taken from the
+    folder names. Records without a time have no chunk; no window would count them."""
+    names = (n.removeprefix(_KEY) for n in child_names(spark, path) if n.startswith(_KEY))
+    return sorted(date.fromisoformat(n) for n in names if n != _NO_KEY)
 
 
 def deliver(spark: SparkSession, replay: str, watched: str, key: date, schema: T.StructType) -> bool:
@@ -52,6 +53,6 @@ def deliver(spark: SparkSession, replay: str, watched: str, key: date, schema: T
     target = f"{watched}/{key.isoformat()}"
     if path_exists(spark, f"{target}/_SUCCESS"):
         return False
-    chunk = spark.read.schema(schema).parquet(f"{replay}/chunk_key={key.isoformat()}")
+    chunk = spark.read.schema(schema).parquet(f"{replay}/{_KEY}{key.isoformat()}")
     chunk.write.mode("overwrite").parquet(target)
     return True

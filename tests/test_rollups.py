@@ -115,8 +115,8 @@ def test_event_time_must_be_named_without_partition_columns(clean):
 
 
 def test_summary_and_preview(clean):
-    row = op.run_summary(clean, "CRASH_DATE", elapsed_seconds=1.5).first()
-    assert tuple(row) == (ROWS[0][0], ROWS[-1][0], 5, 1.5)
+    row = op.run_summary(clean, "CRASH_DATE", 1.5, CRASH_ROLLUPS.outputs()).first()
+    assert tuple(row) == (ROWS[0][0], ROWS[-1][0], 5, CRASH_ROLLUPS.outputs(), 1.5)
     windows = op.tumbling_windows(clean, "CRASH_DATE", SUMS)
     first = op.first_rows(windows, 2, "window_start")
     assert [r.crashes for r in first.collect()] == [2, 1]

@@ -87,6 +87,9 @@ def test_chunks_by_day_and_week(spark, crashes, tmp_path):
         ("week", [date(2022, 1, 3)]),
     ):
         path = str(tmp_path / chunking)
+        timeless = crashes.limit(1).withColumn("CRASH_DATE", F.lit(None).cast("timestamp"))
+        write_replay(timeless, "CRASH_DATE", f"{path}-timeless", chunking)
+        assert chunk_keys(spark, f"{path}-timeless") == []
         write_replay(crashes, "CRASH_DATE", path, chunking)
         assert chunk_keys(spark, path) == keys
         stored = read_output(spark, path)
