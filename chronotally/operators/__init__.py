@@ -6,6 +6,7 @@ from chronotally.operators.checks import (
     readback_check,
     window_duration_checks,
     window_alignment_checks,
+    window_checks,
     window_sanity_checks,
     years_in_scope_check,
 )

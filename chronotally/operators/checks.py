@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.operators.rollups import first_rows
+from chronotally.spec import CRASH_ROLLUPS
+
+
+# Label, aggregate that counts the bad rows, name of that count.
+Check = tuple[str, Column, str]
+
+MEASURES = tuple(CRASH_ROLLUPS.window_sums)
 
 
 def columns_required(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -19,8 +26,8 @@ def columns_required(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*names)
 
 
-def _report(df: DataFrame, checks: Sequence[tuple[str, Column, str]]) -> DataFrame:
-    """Rows from ``(label, aggregate that counts the bad rows, name of the count)``, in one pass."""
+def _report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check, all counted in one pass."""
     counted = df.agg(*[bad.alias(f"bad_{i}") for i, (_, bad, _) in enumerate(checks)])
     rows = [
         F.struct(
@@ -64,41 +71,65 @@ def misaligned(windows: DataFrame, size_seconds: int = 3600) -> DataFrame:
     return windows.filter(_off_grid(windows, size_seconds))
 
 
-def window_alignment_checks(windows: DataFrame, size_seconds: int = 3600) -> DataFrame:
-    off = F.count_if(_off_grid(windows, size_seconds))
-    return _report(windows, [(f"window_start on the {size_seconds} s grid", off, "misaligned")])
-
-
 def failing_windows(windows: DataFrame, size_seconds: int = 3600, n: int = 5) -> DataFrame:
     """The first misaligned windows, as examples for a failed check."""
     return first_rows(misaligned(windows, size_seconds), n, "window_start")
 
 
-def window_duration_checks(windows: DataFrame, size_seconds: int = 3600) -> DataFrame:
+def _alignment(windows: DataFrame, size_seconds: int) -> list[Check]:
+    off = F.count_if(_off_grid(windows, size_seconds))
+    return [(f"window_start on the {size_seconds} s grid", off, "misaligned")]
+
+
+def _duration(windows: DataFrame, size_seconds: int) -> list[Check]:
     length = _seconds(windows, "window_end") - _seconds(windows, "window_start")
-    return _report(
-        windows,
-        [(f"window length is {size_seconds} s", F.count_if(length != size_seconds), "bad_windows")],
-    )
+    off = F.count_if(length != size_seconds)
+    return [(f"window length is {size_seconds} s", off, "bad_windows")]
 
 
-def window_sanity_checks(
-    windows: DataFrame,
-    measures: Sequence[str] = ("injuries_total", "injuries_fatal"),
-    count: str = "crashes",
-) -> DataFrame:
-    """Not empty, no window without a start, no negative sum, no window without a record."""
+def _sanity(measures: Sequence[str], count: str) -> list[Check]:
     negative = F.lit(False)
     for name in measures:
         negative = negative | (F.col(name) < 0)
     empty = F.when(F.count("*") > 0, F.lit(0)).otherwise(1).cast("bigint")
+    return [
+        ("output has rows", empty, "empty"),
+        ("no null window_start", F.count_if(F.col("window_start").isNull()), "nulls"),
+        ("no negative sums", F.count_if(negative), "bad"),
+        ("every window has a record", F.count_if(F.col(count) < 1), "bad"),
+    ]
+
+
+def window_alignment_checks(windows: DataFrame, size_seconds: int = 3600) -> DataFrame:
+    """Every window starts at a multiple of its size."""
+    return _report(windows, _alignment(windows, size_seconds))
+
+
+def window_duration_checks(windows: DataFrame, size_seconds: int = 3600) -> DataFrame:
+    """Every window is exactly as long as it should be."""
+    return _report(windows, _duration(windows, size_seconds))
+
+
+def window_sanity_checks(
+    windows: DataFrame, measures: Sequence[str] = MEASURES, count: str = "crashes"
+) -> DataFrame:
+    """Not empty, no window without a start, no negative sum, no window without a record."""
+    return _report(windows, _sanity(measures, count))
+
+
+def window_checks(
+    windows: DataFrame,
+    measures: Sequence[str] = MEASURES,
+    count: str = "crashes",
+    size_seconds: int = 3600,
+) -> DataFrame:
+    """All checks of a window table in one pass over it."""
     return _report(
         windows,
         [
-            ("output has rows", empty, "empty"),
-            ("no null window_start", F.count_if(F.col("window_start").isNull()), "nulls"),
-            ("no negative sums", F.count_if(negative), "bad"),
-            ("every window has a record", F.count_if(F.col(count) < 1), "bad"),
+            *_alignment(windows, size_seconds),
+            *_duration(windows, size_seconds),
+            *_sanity(measures, count),
         ],
     )
 

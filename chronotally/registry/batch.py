@@ -285,10 +285,6 @@ def check_window_sanity(spark: SparkSession, folder: str) -> DataFrame:
 )
 def check_overall(spark: SparkSession, folder: str) -> DataFrame:
     def all_checks(windows: DataFrame) -> DataFrame:
-        return (
-            op.window_alignment_checks(windows)
-            .unionByName(op.window_duration_checks(windows))
-            .unionByName(_sanity(windows))
-        )
+        return op.window_checks(windows, list(EVENT_SUMS))
 
     return op.overall(_both(spark, folder, all_checks))

@@ -25,11 +25,7 @@ def report(df):
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_good_windows_pass(spark, kind):
     df = windows(spark, GOOD, kind)
-    checks = (
-        op.window_alignment_checks(df)
-        .unionByName(op.window_duration_checks(df))
-        .unionByName(op.window_sanity_checks(df))
-    )
+    checks = op.window_checks(df)
     assert checks.columns == ["check", "passed", "n_bad", "detail"]
     assert tuple(op.overall(checks).first()) == (True, 6, "")
 
@@ -77,7 +73,8 @@ def test_empty_output_fails(spark):
 
 def test_all_checks_take_one_pass(spark, tmp_path):
     windows(spark, GOOD).write.parquet(str(tmp_path / "w"))
-    checks = op.window_sanity_checks(spark.read.parquet(str(tmp_path / "w")))
+    checks = op.window_checks(spark.read.parquet(str(tmp_path / "w")))
+    assert checks.count() == 6
     assert checks._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 

@@ -231,3 +231,9 @@ def test_totals_agree_between_roll_ups(spark, rows):
     for year, month, n in months:
         assert n == sum(m for d, m in days if (d.year, d.month) == (year, month))
     assert op.window_sanity_checks(windows).filter("not passed").isEmpty()
+
+
+def test_records_without_a_time_can_be_left_out(spark):
+    df = clean_frame(spark, [*ROWS, (None, 1, 0, "X")])
+    timed = op.has_event_time(df, "CRASH_DATE")
+    assert timed.count() == len(ROWS) and op.years_between(df, 2022, 2025).count() == len(ROWS)
