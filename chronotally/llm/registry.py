@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotally.llm import bpe
+from chronotally.llm import binary, bpe, chat, chat_sql, neighbours, packing, sharding, toxicity
 from chronotally.llm.quality import quality
+from chronotally.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +48,52 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lost_words", F.crc32("cleaned").alias("cleaned_crc32"),
     )
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
+    """Fitted on rows that are not held out."""
+    labels = _table(spark, folder, "labels").filter(~toxicity.held_out())
+    return toxicity.train(_table(spark, folder, "documents"), labels)
+
+
+@_query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of every text."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, folder))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@_query("op3_binary_ids")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text with an end id, written to files and read back from them."""
+    path = run_folder(spark, "ids")
+    binary.write_ids(_table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return binary.read_ids(spark, path, with_ids=False)
+
+
+@_query("op10_packing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 ids."""
+    return packing.pack(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, with_ids=False
+    )
+
+
+@_query("op4_shuffled_shards")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in eight shards of equal counts, in a random order."""
+    placed = sharding.shuffled_shards(_table(spark, folder, "documents"))
+    return placed.select("doc_id", *sharding.COLUMNS)
+
+
+@_query("op5_chat_formatting", chat_sql.SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations that are no snapshot of a longer one, rendered."""
+    return chat.collapse(_table(spark, folder, "conversations"))
+
+
+@_query("op7_nearest_neighbours")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of every fiftieth vector."""
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)

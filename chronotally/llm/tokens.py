@@ -51,22 +51,57 @@ class Memo:
         return out
 
 
-@lru_cache(2)  # a Python worker goes on with what it knows in its next task
-def id_encoder(path: str, **options) -> Callable[[list[str | None]], list[np.ndarray]]:
-    """A function from texts (null: empty) to their ids, as unsigned 32-bit arrays. Strings of
-    special tokens in a text are ordinary text."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+class Library:
+    """A tokenizer file of the library. Strings of special tokens in a text are ordinary text."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        #: Bytes of each token; a byte is one character of its name.
+        self.sizes = np.array([*map(len, names)], np.int64)
+        #: Tokens behind which a sentence or a line ends. "\u010a" stands for a line feed.
+        self.ends_sentence = np.array([n[-1:] in (".", "!", "?") or "\u010a" in n for n in names])
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_parts(self, new: list[str]) -> list[bytes]:
+        """Ids of each part. Parts that begin with a blank and end in something else are encoded
+        joined, and their ids told apart by the bytes of the tokens."""
+        joined = [i for i, part in enumerate(new) if part[:1] == " " and not part[-1].isspace()]
+        out: list[bytes] = [b""] * len(new)
+        rest = sorted(set(range(len(new))) - set(joined))
+        for at in range(0, len(joined), 4096):
+            some = joined[at : at + 4096]
+            ids = self._ids(["".join([new[i] for i in some])])[0]
+            ends = np.cumsum(self.sizes[ids])
+            want = np.cumsum([len(new[i].encode()) for i in some])
+            cut = np.searchsorted(ends, want)
+            if len(ends) != cut[-1] + 1 or (ends[cut] != want).any():
+                rest += some
+                continue
+            for i, a, b in zip(some, [0, *(cut[:-1] + 1)], cut + 1):
+                out[i] = ids[a:b].tobytes()
+        for at in range(0, len(rest), 1024):
+            some = rest[at : at + 1024]
+            for i, ids in zip(some, self._ids([new[i] for i in some])):
+                out[i] = ids.tobytes()
+        return out
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
 
-    def encode(new: list[str]) -> Iterable[bytes]:
-        for at in range(0, len(new), 4096):
-            for found in tokenizer.encode_batch_fast(new[at : at + 4096], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
+@lru_cache(2)
+def library(path: str) -> Library:
+    return Library(path)
 
-    memo = Memo(encode, **options)
+
+@lru_cache(2)  # a Python worker goes on with what it knows in its next task
+def id_encoder(path: str, **options) -> Callable[[list[str | None]], list[np.ndarray]]:
+    """A function from texts (null: empty) to their ids, as unsigned 32-bit arrays."""
+    memo = Memo(library(path).encode_parts, **options)
 
     def ids(texts: list[str | None]) -> list[np.ndarray]:
         joined = memo.take([parts(text or "") for text in texts])
