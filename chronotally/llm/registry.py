@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotally.llm import binary, bpe, chat, chat_sql, neighbours, packing, sharding, toxicity
+from chronotally.llm import binary, bpe, chat, chat_sql, jaccard, neighbours, packing, sharding, toxicity
 from chronotally.llm.quality import quality
 from chronotally.session import run_folder
 
@@ -97,3 +97,9 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest of every fiftieth vector."""
     return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op8_ngram_jaccard")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose four-word shingles overlap by 85 of 100."""
+    return jaccard.groups(_table(spark, folder, "documents"))
