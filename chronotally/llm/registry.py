@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotally.llm import binary, bpe, chat, chat_sql, jaccard, neighbours, packing, sharding, toxicity
+from chronotally.llm import binary, bpe, chat, chat_sql, jaccard, line_dedup, neighbours, packing, sharding, toxicity
 from chronotally.llm.quality import quality
 from chronotally.session import run_folder
 
@@ -103,3 +103,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose four-word shingles overlap by 85 of 100."""
     return jaccard.groups(_table(spark, folder, "documents"))
+
+
+@_query("op6_line_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of every document that repeat an earlier one, and a checksum of what is left."""
+    cut = line_dedup.without_repeated_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.size("removed_lines").cast("bigint").alias("n_removed"),
+        F.array_join("removed_lines", " ").alias("removed_lines"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
+    )
