@@ -21,7 +21,7 @@ from chronotally.operators.filters import (
     window_slice,
     years_between,
 )
-from chronotally.operators.inventory import output_inventory, run_inventory
+from chronotally.operators.inventory import all_present, output_inventory, run_inventory
 from chronotally.operators.reuse import kept
 from chronotally.operators.rollups import (
     breakdown,

@@ -151,9 +151,9 @@ def readback_check(df: DataFrame, rows_written: int) -> DataFrame:
 
 
 def overall(checks: DataFrame) -> DataFrame:
-    """One row: did every check pass, and the list of those that did not."""
+    """One row: did every check pass, and the list of those that did not. No check at all is no pass."""
     return checks.agg(
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("all_passed"),
+        (F.coalesce(F.bool_and("passed"), F.lit(False))).alias("all_passed"),
         F.count("*").alias("n_checks"),
         F.array_join(
             F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("check")))), ", "

@@ -48,18 +48,25 @@ def side_by_side(batch: DataFrame, stream: DataFrame, count: str = "crashes") ->
 
 
 def reconcile_windows(batch: DataFrame, stream: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Join both sides on the window: ``match``, ``differs``, ``missing_in_stream`` or
-    ``missing_in_batch``, with the values of both."""
-    left = batch.select("window_start", F.struct(*measures).alias("b"))
-    right = stream.select("window_start", F.struct(*measures).alias("s"))
+    """Join both sides on the window's start and end: ``match``, ``differs``, ``duplicate`` (more
+    than one row for the window on a side), ``missing_in_stream`` or ``missing_in_batch``, with
+    the values of both (of the largest row where there are several)."""
+    window = ["window_start", "window_end"]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*window).agg(
+            F.max(F.struct(*measures)).alias(name), F.count("*").alias(f"{name}_rows")
+        )
+
     status = (
-        F.when(F.col("s").isNull(), "missing_in_stream")
+        F.when((F.col("b_rows") > 1) | (F.col("s_rows") > 1), "duplicate")
+        .when(F.col("s").isNull(), "missing_in_stream")
         .when(F.col("b").isNull(), "missing_in_batch")
         .when(F.col("b").eqNullSafe(F.col("s")), "match")
         .otherwise("differs")
     )
-    return left.join(right, "window_start", "full").select(
-        "window_start",
+    return side(batch, "b").join(side(stream, "s"), window, "full").select(
+        *window,
         status.alias("status"),
         *[F.col(f"b.{m}").alias(f"batch_{m}") for m in measures],
         *[F.col(f"s.{m}").alias(f"stream_{m}") for m in measures],

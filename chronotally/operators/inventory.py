@@ -22,6 +22,14 @@ def _folder(spark: SparkSession, name: str, path: str) -> DataFrame:
     )
 
 
+def all_present(inventory: DataFrame) -> DataFrame:
+    """One row that says whether everything listed is there: ``present``, ``missing`` (names)."""
+    return inventory.agg(
+        F.coalesce(F.bool_and("present"), F.lit(False)).alias("present"),
+        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("present"), F.col("name")))), ", ").alias("missing"),
+    )
+
+
 def output_inventory(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """``name, files, megabytes, present`` for each expected output below ``root``."""
     rows = [_folder(spark, name, f"{root.rstrip('/')}/{name}") for name in names]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -85,15 +87,23 @@ def outputs_by_category(df: DataFrame, spec: RollupSpec) -> dict[str, DataFrame]
     return {out: breakdown(df, column, spec.group_count) for out, column in spec.categories.items()}
 
 
-def write_gold(df: DataFrame, spec: RollupSpec, root: str) -> list[str]:
-    """Write every output to its own folder below ``root`` and return their names.
+@dataclass(frozen=True)
+class GoldRun:
+    """What a run wrote, and how long it took."""
+
+    outputs: list[str]
+    elapsed_seconds: float
+
+
+def write_gold(df: DataFrame, spec: RollupSpec, root: str) -> GoldRun:
+    """Write every output to its own folder below ``root``; give their names and the time it took.
 
     Each column of the table is read once: event time and measures for all outputs by time, a
     category for its breakdown. The time roll-up is stored in the shared folder, so no output
     depends on a second scan, also when an executor is lost. Independent jobs run side by side.
     """
     spark = df.sparkSession
-    staged = run_folder(spark, "time-rollup")
+    staged, began = run_folder(spark, "time-rollup"), time.perf_counter()
 
     def write(output: tuple[str, DataFrame]) -> None:
         name, rows = output
@@ -106,4 +116,4 @@ def write_gold(df: DataFrame, spec: RollupSpec, root: str) -> list[str]:
         times = outputs_by_time(read_output(spark, staged), spec)
         for done in [*categories, *[pool.submit(job, o) for o in times.items()]]:
             done.result()
-    return spec.outputs()
+    return GoldRun(spec.outputs(), time.perf_counter() - began)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +21,14 @@ from chronotally.registry.tables import (
     raw_orders,
 )
 from chronotally.session import run_folder
+from chronotally.sinks import write_table
 from chronotally.sources import read_bronze, read_cleaned, read_output
 from chronotally.streaming import write_replay
 
 
 def _stored(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame, plans.CleanCounts]:
     """Write the cleaned table from CSV and read it back with its explicit schema."""
-    raw = read_bronze(spark, raw_csv(spark, folder, f"{label}-csv"))
+    raw = read_bronze(spark, raw_csv(spark, folder, f"{label}-csv"), multi_line=False)
     path = run_folder(spark, f"{label}-clean")
     counts = plans.write_clean(raw, ORDER_RECORDS, path)
     return read_cleaned(spark, path, ORDER_RECORDS.schema()), counts
@@ -36,6 +38,13 @@ def _stored(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame, pl
 _SCANNED_SQL = "(select * replace (nullif(happened, '') as happened) from raw)"
 
 
+@query("csv_line_scan", f"with {RAW_SQL} select * exclude (note) from {_SCANNED_SQL}")
+def csv_line_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The scan in splits, by given columns, of text in which no record spans lines."""
+    columns = ["record_id", "happened", "people", "serious", "status", "priority"]
+    return read_bronze(spark, raw_csv(spark, folder, "lines"), columns, multi_line=False)
+
+
 @query("csv_bronze_scan", f"with {RAW_SQL} select * from {_SCANNED_SQL}")
 def csv_bronze_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_bronze(spark, raw_csv(spark, folder, "scan", notes=True))
@@ -193,13 +202,83 @@ def gold_readback(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("output_inventory")
+def _names_and_all(inventory: DataFrame) -> DataFrame:
+    """What is there by name, and the conclusion; counts and sizes of files depend on the cluster."""
+    whole = op.all_present(inventory).select(
+        F.concat(F.lit("all, missing: "), "missing").alias("name"), "present"
+    )
+    return inventory.select("name", "present").unionByName(whole)
+
+
+@query(
+    "output_inventory",
+    f"""with {RAW_SQL},
+    named as (
+      select * from (values ('orders_by_hour_window'), ('orders_by_date'), ('orders_by_month'),
+        ('people_by_month'), ('orders_by_priority'), ('orders_by_status')) t(name)
+    )
+    select name, (select count(*) > 0 from silver) as present from named
+    union all values ('not_written', false), ('all, missing: not_written', false)""",
+)
 def output_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """File counts and sizes depend on the cluster, so there is no SQL to compare with."""
     stored, _ = _stored(spark, folder, "inventory")
     root = run_folder(spark, "inventory-gold")
-    names = plans.write_gold(stored, ORDER_ROLLUPS, root)
-    return op.output_inventory(spark, root, [*names, "not_written"])
+    run = plans.write_gold(stored, ORDER_ROLLUPS, root)
+    return _names_and_all(op.output_inventory(spark, root, [*run.outputs, "not_written"]))
+
+
+@query(
+    "timed_run_summary",
+    f"""with {RAW_SQL}
+    select min(happened) as first_event, max(happened) as last_event, count(*) as rows_processed,
+      'orders_by_hour_window, orders_by_date, orders_by_month, people_by_month, orders_by_priority, orders_by_status'
+        as outputs,
+      true as timed
+    from silver""",
+)
+def timed_run_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch run from the cleaned table to all outputs, with the time it took."""
+    stored, _ = _stored(spark, folder, "timed")
+    run = plans.write_gold(stored, ORDER_ROLLUPS, run_folder(spark, "timed-gold"))
+    summary = op.run_summary(stored, "happened", run.elapsed_seconds, run.outputs)
+    return summary.withColumns(
+        {"outputs": F.array_join("outputs", ", "), "timed": F.col("elapsed_seconds") > 0}
+    ).drop("elapsed_seconds")
+
+
+@query(
+    "missing_columns",
+    """select 'people' as name, count(*) as rows_in from orders
+    union all select 'serious', count(*) from orders""",
+)
+def missing_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns that the check for required columns names, over a table that lacks them."""
+    raw = read_bronze(spark, raw_csv(spark, folder, "missing")).drop("people", "serious")
+    try:
+        op.columns_required(raw, ORDER_RECORDS.columns)
+        named = []
+    except ValueError as error:
+        named = [c for c in ORDER_RECORDS.columns if f"'{c}'" in str(error)]
+    return raw.agg(F.count("*").alias("rows_in")).select(
+        F.explode(F.array(*map(F.lit, named))).alias("name"), "rows_in"
+    )
+
+
+@query(
+    "save_mode_kept",
+    """select o_orderpriority as priority, count(*) as n, true as refused from orders group by 1""",
+)
+def save_mode_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """A second write to the same place is refused and leaves the first one as it was."""
+    counts = op.breakdown(raw_orders(spark, folder), "priority", "n")
+    path = run_folder(spark, "kept")
+    write_table(counts, path, "errorifexists")
+    try:
+        write_table(counts.limit(1), path, "errorifexists")
+        refused = False
+    except AnalysisException:
+        refused = True
+    return read_output(spark, path).withColumn("refused", F.lit(refused))
 
 
 # --- replay sets ----------------------------------------------------------------------------

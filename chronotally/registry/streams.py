@@ -12,13 +12,15 @@ from chronotally.registry.base import query
 from chronotally.registry.batch import HOURS_SQL
 from chronotally.registry.tables import EVENT_SUMS, EVENTS_SQL, event_instants
 from chronotally.session import run_folder
-from chronotally.sources import read_output, watch_folder
+from chronotally.sources import read_output, table_status, watch_folder
 from chronotally.streaming import (
+    Reports,
     chunk_keys,
     deliver,
     finish,
     progress_frame,
     replay_windows,
+    run_totals,
     start_windows,
     windowed,
     write_replay,
@@ -40,18 +42,18 @@ class Run:
     watched: str
     output: str
     checkpoint: str
-    progress: list[dict]
+    reports: Reports | None
 
 
 def _folders(spark: SparkSession, label: str) -> Run:
     root = run_folder(spark, label)
-    return Run(f"{root}/replay", f"{root}/arrived", f"{root}/windows", f"{root}/checkpoint", [])
+    return Run(f"{root}/replay", f"{root}/arrived", f"{root}/windows", f"{root}/checkpoint", None)
 
 
 def _replay(spark: SparkSession, records: DataFrame, label: str, arrival: str | None = None) -> Run:
     run = _folders(spark, label)
     write_replay(records, "ts", run.replay, "week", arrival=arrival)
-    run.progress = replay_windows(
+    run.reports = replay_windows(
         spark,
         run.replay,
         run.watched,
@@ -69,14 +71,55 @@ def stream_hourly_windows(spark: SparkSession, folder: str) -> DataFrame:
     return read_output(spark, _replay(spark, event_instants(spark, folder), "hours").output)
 
 
+_ARRIVALS_SQL = f"""
+{HOURS_SQL},
+arrivals as (
+  select date_trunc('week', ts) as chunk, count(*) as input_rows, max(ts) as top from events group by 1
+),
+marked as (
+  select *, row_number() over (order by chunk) - 1 as run,
+    max(top) over (order by chunk) - interval '1 hour' as mark
+  from arrivals
+),
+finished as (
+  select run, input_rows, (select count(*) from hours where window_end <= mark) as so_far from marked
+)"""
+
+
 @query(
     "stream_progress",
-    "select count(*) as input_rows from events group by date_trunc('week', ts)",
+    f"""with {_ARRIVALS_SQL}
+    select cast(run as integer) as run, input_rows,
+      so_far - coalesce(lag(so_far) over (order by run), 0) as windows_out
+    from finished""",
 )
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows taken in per arrival; batches without input only move the watermark."""
+    """Rows taken in and windows written per arrival; batches without input only move the watermark."""
     run = _replay(spark, event_instants(spark, folder), "progress")
-    return progress_frame(spark, run.progress).filter("input_rows > 0").select("input_rows")
+    return (
+        progress_frame(spark, run.reports)
+        .groupBy("run")
+        .agg(
+            F.sum("input_rows").alias("input_rows"),
+            F.coalesce(F.sum("windows_out"), F.lit(0)).alias("windows_out"),
+        )
+    )
+
+
+@query(
+    "stream_run_totals",
+    f"""with {_ARRIVALS_SQL}
+    select (select count(*) from events) as input_rows, max(so_far) as windows_out,
+      true as timed, true as all_files_in from finished""",
+)
+def stream_run_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole run in one row; how many batches and files it took depends on the cluster."""
+    run = _replay(spark, event_instants(spark, folder), "totals")
+    totals = run_totals(spark, run.reports, run.watched)
+    return totals.select(
+        "input_rows", "windows_out", (F.col("seconds") > 0).alias("timed"),
+        (F.col("files_in") >= 5).alias("all_files_in"),
+    )
 
 
 @query(
@@ -101,7 +144,7 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
       count(*) filter (not in_time) as late
     from judged
     where window_start + interval '1 hour' <= (select max(ts) - interval '1 hour' from events)
-    group by 1 having count(*) filter (in_time) > 0""",
+    group by 1""",
 )
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Errors are reported a week late, when most of their windows are closed."""
@@ -111,10 +154,17 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise(F.col("ts"))
     run = _replay(spark, records.withColumn("arrival", arrival), "late", arrival="arrival")
     written = read_output(spark, run.output).select("window_start", F.col("crashes").alias("counted"))
+    # The windows that are closed at the end, those without a single record in time as well.
+    newest = records.agg(F.max("ts").alias("newest"))
+    counted = F.coalesce("counted", F.lit(0))
     return (
         op.tumbling_windows(records, "ts", {}, count="records")
-        .join(written, "window_start")
-        .select("window_start", "records", "counted", (F.col("records") - F.col("counted")).alias("late"))
+        .crossJoin(F.broadcast(newest))  # one row
+        .filter(F.col("window_end") <= F.col("newest") - F.expr("INTERVAL '1' HOUR"))
+        .join(written, "window_start", "left")
+        .select(
+            "window_start", "records", counted.alias("counted"), (F.col("records") - counted).alias("late")
+        )
     )
 
 
@@ -148,7 +198,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
 
     def leg(number: int, arriving: list) -> DataFrame:
         for key in arriving:
-            deliver(spark, run.replay, run.watched, key, records.schema)
+            deliver(spark, run.replay, run.watched, key)
         _run_arrived(spark, run, records.schema)
         # Which files belong to the output is settled here, before the next leg.
         return read_output(spark, run.output).agg(
@@ -191,7 +241,7 @@ def _both_sides(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame
 @query(
     "batch_stream_reconcile",
     f"""with {_DONE_SQL}
-    select h.window_start,
+    select h.window_start, h.window_end,
       case when d.window_start is null then 'missing_in_stream' else 'match' end as status,
       h.crashes as batch_crashes, h.k_total as batch_k_total,
       h.error_k_total as batch_error_k_total,
@@ -217,15 +267,110 @@ def batch_stream_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
     return op.side_by_side(*_both_sides(spark, folder, "sides"))
 
 
-@query("schema_parity")
+@query(
+    "reconcile_faults",
+    f"""with {_DONE_SQL}
+    select h.window_start, h.window_end,
+      case extract(hour from h.window_start) % 4 when 0 then 'duplicate' when 1 then 'missing_in_stream'
+        when 2 then 'differs' else 'match' end as status
+    from done h""",
+)
+def reconcile_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows that are twice, missing or changed in the stream's output are told apart."""
+    batch, stream = _both_sides(spark, folder, "faults")
+    turn = F.hour("window_start") % 4
+    kept = stream.filter(turn != 1).withColumn(
+        "crashes", F.when(turn == 2, F.col("crashes") + 1).otherwise(F.col("crashes"))
+    )
+    faulty = kept.unionByName(stream.filter(turn == 0))
+    done = batch.join(stream.select("window_start"), "window_start", "left_semi")
+    return op.reconcile_windows(done, faulty, ["crashes"]).select("window_start", "window_end", "status")
+
+
+@query(
+    "schema_parity",
+    """select * from (values ('crashes', 'bigint', 'bigint', 'match'),
+      ('k_total', 'bigint', 'int', 'type_differs'), ('error_k_total', 'bigint', null, 'batch_only'),
+      ('arrived', null, 'date', 'stream_only'), ('window_start', 'timestamp', 'timestamp', 'match'),
+      ('window_end', 'timestamp', 'timestamp', 'match')) t(column_name, batch_type, stream_type, status)""",
+)
 def schema_parity(spark: SparkSession, folder: str) -> DataFrame:
-    """Schemas are not rows of a table, so there is no SQL to compare with."""
-    return op.schema_parity(*_both_sides(spark, folder, "parity"))
+    """One column of the stream's output has another type, one another name."""
+    batch, stream = _both_sides(spark, folder, "parity")
+    other = stream.withColumns({"k_total": F.col("k_total").cast("int"), "arrived": F.to_date("window_end")})
+    return op.schema_parity(batch, other.drop("error_k_total"))
 
 
-@query("stream_inventory")
+@query(
+    "stream_inventory",
+    """select 'replay' as name, count(*) < 0 as present from events
+    union all select 'arrived', count(*) > 0 from events
+    union all select 'windows', count(*) > 0 from events
+    union all select 'checkpoint', count(*) > 0 from events
+    union all select 'all, missing: replay', false""",
+)
 def stream_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """File counts and sizes depend on the cluster, so there is no SQL to compare with."""
+    """All has been handed over: the replay set is used up, the rest is there."""
     run = _replay(spark, event_instants(spark, folder), "files")
     folders = {"replay": run.replay, "arrived": run.watched, "windows": run.output}
-    return op.run_inventory(spark, folders, run.checkpoint)
+    inventory = op.run_inventory(spark, folders, run.checkpoint)
+    whole = op.all_present(inventory).select(
+        F.concat(F.lit("all, missing: "), "missing").alias("name"), "present"
+    )
+    return inventory.select("name", "present").unionByName(whole)
+
+
+@query(
+    "output_status",
+    """select 'before' as moment, count(*) < 0 as output_found, count(*) > 0 as queued,
+      count(*) < 0 as checkpoint_found from events
+    union all select 'after', count(*) > 0, count(*) > 0, count(*) > 0 from events""",
+)
+def output_status(spark: SparkSession, folder: str) -> DataFrame:
+    """What can be read and what waits, before and after the run."""
+    records = event_instants(spark, folder)
+    run = _folders(spark, "status")
+    records.write.parquet(f"{run.watched}/all")
+    places = (run.output, run.watched, run.checkpoint)
+    before = table_status(spark, *places)
+    _run_arrived(spark, run, records.schema)
+    rows = {"before": before, "after": table_status(spark, *places)}
+    parts = [
+        df.select(F.lit(k).alias("moment"), "output_found", (F.col("files_queued") > 0).alias("queued"), "checkpoint_found")
+        for k, df in rows.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "stream_ignores_other_names",
+    f"with {_DONE_SQL} select count(*) as windows, cast(sum(crashes) as bigint) as records from done",
+)
+def stream_ignores_other_names(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy of all records lies in the watched folder under names that do not match."""
+    records = event_instants(spark, folder)
+    run = _folders(spark, "names")
+    records.write.parquet(f"{run.watched}/all")
+    records.write.json(f"{run.watched}/copy")
+    _run_arrived(spark, run, records.schema)
+    return read_output(spark, run.output).agg(
+        F.count("*").alias("windows"), F.sum("crashes").alias("records")
+    )
+
+
+@query(
+    "stream_trigger",
+    f"with {_DONE_SQL} select * from done",
+)
+def stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
+    """A query on a processing-time trigger, stopped when nothing is left to take."""
+    records = event_instants(spark, folder)
+    run = _folders(spark, "trigger")
+    records.write.parquet(f"{run.watched}/all")
+    windows = windowed(watch_folder(spark, run.watched, records.schema), "ts", EVENT_SUMS)
+    live = start_windows(windows, run.output, run.checkpoint, trigger="1 second")
+    try:
+        live.processAllAvailable()
+    finally:
+        live.stop()
+    return read_output(spark, run.output)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -49,13 +50,13 @@ def adaptive_on(spark: SparkSession) -> bool:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder of this machine.
+    Only ``local`` and ``local[...]``, where driver and executors are one process, may fall back to
+    a temporary folder of this machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(
             "spark.checkpoint.dir is not set: name a folder that all executors share"
         )
@@ -87,9 +88,21 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(hadoop_path)]
 
 
+def moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False if the target is there. One step on file systems that have it."""
+    system, to = _file_system(spark, target)
+    if system.exists(to):
+        return False
+    system.mkdirs(to.getParent())
+    if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
+        raise OSError(f"could not rename {source} to {target}")
+    return True
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for the length of a block."""
+    """Session settings for the length of a block. The session is shared: what other threads plan
+    meanwhile sees them too."""
     before = {key: spark.conf.get(key, None) for key in values}
     for key, value in values.items():
         spark.conf.set(key, value)

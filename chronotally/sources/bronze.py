@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotally.session import run_folder
-from chronotally.sources.files import list_files
-
 # A quoted field that is complete, with its quotes doubled inside.
 _WHOLE_QUOTED_FIELD = r'(^|,)"(?:[^"]++|"")*+"(?=,|\z)'
 
-# Above this size a file with records over several lines is not left to a single task.
-SPLIT_ABOVE = 1 << 30
-
 _FORMAT = {"header": True, "inferSchema": False, "escape": '"'}
 
 
@@ -24,20 +18,10 @@ def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return spark.read.option("lineSep", "\n").text(_paths(path))
-
-
 def _ends_in_return(text: Column) -> Column:
     return F.endswith(text, F.lit("\r"))
 
 
-def _without_return(text: Column) -> Column:
-    return F.when(_ends_in_return(text), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(
-        text
-    )
-
-
 def _irregular(text: Column) -> Column:
     """A quote is left once the complete quoted fields are taken out, or there is a carriage
     return inside, or nothing but blanks."""
@@ -49,12 +33,15 @@ def _irregular(text: Column) -> Column:
 def lines_are_records(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether a line-by-line scan gives what a scan of each file as a whole gives: no line is
     only a part of a record or holds blanks only, and all lines end the same way. The text is
-    read in splits, whatever the size of one file."""
-    ends = _ends_in_return(F.col("value"))
+    read once, in splits."""
+    text = F.col("value")
+    ends = _ends_in_return(text)
+    plain = F.when(ends, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     found = (
-        _lines(spark, path)
+        spark.read.option("lineSep", "\n")
+        .text(_paths(path))
         .agg(
-            F.bool_or(_irregular(_without_return(F.col("value")))).alias("irregular"),
+            F.bool_or(_irregular(plain)).alias("irregular"),
             F.bool_or(ends).alias("some"),
             F.bool_and(ends).alias("all"),
         )
@@ -67,120 +54,20 @@ def read_bronze(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
-    multi_line: bool | None = None,
-    split_above: int = SPLIT_ABOVE,
+    multi_line: bool | None = True,
 ) -> DataFrame:
     """Scan CSV with a header row, doubled-quote escapes and line breaks inside quotes.
 
-    Spark's multi-line scan cannot split a file: one file is one task. With ``multi_line=None``
-    the text is looked at first. Where no record spans lines, the line-by-line scan gives the
-    same rows; where some do and a file is larger than ``split_above`` bytes, records are put
-    together from the lines of all its splits (:func:`joined_records`). ``columns`` names the
-    file's columns in order and saves the job that reads the header.
+    The multi-line scan takes each file as a whole: one file is one task, so deliver raw text in
+    many files. ``multi_line=False`` reads files in splits and is right where no record spans
+    lines; ``None`` looks at the text first, a further pass over it, and takes the scan in splits
+    where it gives the same rows. ``columns`` names the columns that every file has, in order, and
+    saves the job that reads the header; a file with other names in its header fails the scan.
     """
     reader = spark.read.options(**_FORMAT)
     if columns is not None:
-        reader = reader.schema(_text_schema(columns))
+        named = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        reader = reader.schema(named).option("enforceSchema", False)
     if multi_line is None:
         multi_line = not lines_are_records(spark, path)
-        if multi_line and _largest_file(spark, path) > split_above:
-            names = columns or reader.option("multiLine", True).csv(_paths(path)).columns
-            rows = _read_joined(spark, path, names)
-            if rows is not None:
-                return rows
     return reader.option("multiLine", multi_line).csv(_paths(path))
-
-
-def _text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
-def _largest_file(spark: SparkSession, path: str | Sequence[str]) -> int:
-    sizes = [list_files(spark, p).agg(F.max("length")).first()[0] or 0 for p in _paths(path)]
-    return max(sizes, default=0)
-
-
-def joined_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Records as text (``record``), whether each is its file's ``header``, and whether it is
-    ``irregular`` (see :func:`_read_joined`). Lines may come from any split.
-
-    A line with an odd number of quotes opens or closes a quoted field, in turn. So the number of
-    such lines ahead of a line in its file says whether it starts inside quotes, and half of it
-    numbers the records that span lines. The count is summed per split first, then over the
-    splits of a file, then within each split; only lines of such records are grouped. The first
-    line of a file says, as it does to Spark's reader, whether lines end in CR LF.
-    """
-    file = F.col("_metadata.file_path")
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = _lines(spark, path).select(
-        F.xxhash64(file).alias("file"),  # cheaper to move and sort by than the path
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-        (quotes % 2).alias("odd"),
-        file.alias("path"),
-    )
-    splits = Window.partitionBy("file").orderBy("split")
-    ahead = (Window.unboundedPreceding, -1)
-    before_split = (
-        lines.groupBy("file", "split")
-        .agg(
-            F.sum("odd").alias("odd_lines"),
-            F.min_by(_ends_in_return(F.col("value")), "line").alias("first_ends_in_return"),
-            F.min("path").alias("a_path"),
-            F.max("path").alias("z_path"),
-        )
-        .select(
-            "file",
-            "split",
-            F.coalesce(F.sum("odd_lines").over(splits.rowsBetween(*ahead)), F.lit(0)).alias("before"),
-            F.first("first_ends_in_return").over(splits).alias("returns"),
-            # Two paths with one hash: leave such files to the scan of whole files.
-            (F.min("a_path").over(splits) != F.max("z_path").over(splits)).alias("clash"),
-        )
-    )
-    split = Window.partitionBy("file", "split")
-    within = F.coalesce(F.sum("odd").over(split.orderBy("line").rowsBetween(*ahead)), F.lit(0))
-    text = F.when(F.col("returns"), _without_return(F.col("value"))).otherwise(F.col("value"))
-    counted = (
-        lines.drop("path")
-        .join(before_split, ["file", "split"])
-        .withColumns({"before": F.col("before") + within, "value": text})
-        .withColumn("first", F.min(F.when(F.col("value") != "", F.col("line"))).over(split))
-        .withColumn("header", (F.col("split") == 0) & (F.col("line") == F.col("first")))
-    )
-    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
-    pieces = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
-    spanning = (
-        counted.filter(~alone)
-        .groupBy("file", F.floor(F.col("before") / 2).alias("number"))
-        .agg(
-            F.array_join(pieces["value"], "\n").alias("record"),
-            F.bool_or("header").alias("header"),
-            F.bool_or("clash").alias("clash"),
-        )
-        .select("record", "header", "clash")
-    )
-    single = counted.filter(alone & (F.col("value") != "")).select(
-        F.col("value").alias("record"), "header", "clash"
-    )
-    return single.unionByName(spanning).select(
-        "record",
-        F.coalesce("header", F.lit(False)).alias("header"),
-        (F.col("clash") | _irregular(F.col("record"))).alias("irregular"),
-    )
-
-
-def _read_joined(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]
-) -> DataFrame | None:
-    """Rows from joined records, or None where quotes or line ends are used in a way that only a
-    reader going through the file from its start can follow."""
-    stored = run_folder(spark, "records")
-    joined_records(spark, path).write.parquet(stored)
-    records = spark.read.parquet(stored)
-    if not records.filter("irregular").limit(1).isEmpty():
-        return None
-    options = {"escape": '"', "multiLine": "true"}
-    parsed = F.from_csv("record", _text_schema(columns).toDDL(), options)
-    return records.filter("not header").select(parsed.alias("r")).select("r.*")

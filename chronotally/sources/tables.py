@@ -25,11 +25,14 @@ def watch_folder(
     schema: T.StructType,
     max_files: int | None = None,
     glob: str = "*.parquet",
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream of Parquet files as they arrive, in sub-folders too; names outside ``glob`` are left
     alone.
 
     ``max_files`` bounds the files of one micro-batch. Spark takes files by modification time.
+    ``archive`` names a folder to which files go once a later batch has been committed, so that
+    listings of the watched folder stay short.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -38,6 +41,8 @@ def watch_folder(
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(path)
 
 

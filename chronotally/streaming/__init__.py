@@ -1,3 +1,3 @@
-from chronotally.streaming.progress import progress_frame, time_to_first_window
+from chronotally.streaming.progress import Reports, progress_frame, run_totals, time_to_first_window
 from chronotally.streaming.replay import chunk_keys, deliver, write_replay
 from chronotally.streaming.windows import finish, replay_windows, start_windows, windowed

@@ -3,53 +3,85 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from chronotally.sources.files import data_files
+
 _SCHEMA = (
-    "batch_id bigint, started string, input_rows bigint, duration_ms bigint, watermark string, "
-    "windows_out bigint, rows_dropped bigint, state_rows bigint"
+    "run int, batch_id bigint, started string, input_rows bigint, duration_ms bigint, "
+    "watermark string, windows_out bigint, rows_dropped bigint, state_rows bigint"
 )
 
 
-def progress_of(query: StreamingQuery) -> list[dict]:
-    """Progress reports the query still holds (Spark keeps the last 100)."""
-    return [json.loads(p.json) for p in query.recentProgress]
+class Reports:
+    """The progress of all batches of one or more queries. Spark holds the last reports of a query
+    only; they are taken while it runs."""
+
+    def __init__(self) -> None:
+        self.began, self.ended = time.time(), None
+        self._by_batch: dict[tuple[str, int, str], dict] = {}
+        self._runs: dict[str, int] = {}
+
+    def take(self, query: StreamingQuery) -> None:
+        for report in (json.loads(p.json) for p in query.recentProgress):
+            run = self._runs.setdefault(report["runId"], len(self._runs))
+            self._by_batch[report["runId"], report["batchId"], report["timestamp"]] = {**report, "run": run}
+
+    def all(self) -> list[dict]:
+        """In the order of runs and batches."""
+        return sorted(self._by_batch.values(), key=lambda r: (r["run"], r["batchId"], r["timestamp"]))
+
+
+def _state(report: dict) -> dict:
+    return (report.get("stateOperators") or [{}])[0]
 
 
-def progress_frame(spark: SparkSession, progress: Sequence[dict]) -> DataFrame:
+def progress_frame(spark: SparkSession, reports: Reports) -> DataFrame:
     """One row per batch. ``rows_dropped`` counts late rows after Spark's partial aggregation, so
     it is a lower bound; compare input rows with rows out and in state for the true number."""
     rows = []
-    for report in progress:
-        states = report.get("stateOperators") or [{}]
+    for report in reports.all():
+        state = _state(report)
         rows.append(
             (
+                report["run"],
                 report["batchId"],
                 report["timestamp"],
                 report["numInputRows"],
                 report.get("durationMs", {}).get("triggerExecution"),
                 report.get("eventTime", {}).get("watermark"),
-                states[0].get("numRowsRemoved"),
-                states[0].get("numRowsDroppedByWatermark"),
-                states[0].get("numRowsTotal"),
+                state.get("numRowsRemoved"),
+                state.get("numRowsDroppedByWatermark"),
+                state.get("numRowsTotal"),
             )
         )
     return spark.createDataFrame(rows, _SCHEMA)
 
 
-def time_to_first_window(progress: Sequence[dict]) -> float | None:
-    """Seconds from the start of the first batch to the end of the first that wrote a window."""
+def run_totals(spark: SparkSession, reports: Reports, watched: str) -> DataFrame:
+    """One row for the whole run: batches, input rows, windows written, files that have arrived,
+    and seconds from the first delivery to the end."""
+    batches = reports.all()
+    row = (
+        len(batches),
+        sum(r["numInputRows"] for r in batches),
+        sum(_state(r).get("numRowsRemoved") or 0 for r in batches),
+        data_files(spark, watched).count(),
+        (reports.ended or time.time()) - reports.began,
+    )
+    return spark.createDataFrame(
+        [row], "batches bigint, input_rows bigint, windows_out bigint, files_in bigint, seconds double"
+    )
 
-    def started(report: dict) -> float:
-        return datetime.fromisoformat(report["timestamp"].replace("Z", "+00:00")).timestamp()
 
-    for report in progress:
-        states = report.get("stateOperators") or [{}]
-        if states[0].get("numRowsRemoved"):
-            took = report["durationMs"]["triggerExecution"] / 1000
-            return started(report) + took - started(progress[0])
+def time_to_first_window(reports: Reports) -> float | None:
+    """Seconds from before the first delivery to the end of the first batch that wrote a window."""
+    for report in reports.all():
+        if _state(report).get("numRowsRemoved"):
+            started = datetime.fromisoformat(report["timestamp"].replace("Z", "+00:00")).timestamp()
+            return started + report["durationMs"]["triggerExecution"] / 1000 - reports.began
     return None

@@ -6,10 +6,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chronotally.functions.calendar import week_start
-from chronotally.session import child_names, path_exists
+from chronotally.session import child_names, moved, path_exists
 from chronotally.sinks.parquet import write_partitioned
 
 # How Spark names the folders of a partitioned table.
@@ -41,18 +40,17 @@ def write_replay(
 def chunk_keys(spark: SparkSession, path: str) -> list[date]:
     """The chunks of a replay set in time order: at most one per calendar day, taken from the
     folder names. Records without a time have no chunk; no window would count them."""
+    if not path_exists(spark, path):
+        return []
     names = (n.removeprefix(_KEY) for n in child_names(spark, path) if n.startswith(_KEY))
     return sorted(date.fromisoformat(n) for n in names if n != _NO_KEY)
 
 
-def deliver(spark: SparkSession, replay: str, watched: str, key: date, schema: T.StructType) -> bool:
-    """Copy one chunk into the watched folder; False if it had arrived before.
+def deliver(spark: SparkSession, replay: str, watched: str, key: date) -> bool:
+    """Hand one chunk over to the watched folder; False if it had arrived before.
 
-    A chunk left incomplete by a crash has no success marker and is written again.
+    Its folder is renamed: a stream sees all of its files or none, and no file twice. The replay
+    set is used up by it. Object stores rename file by file; a stream that runs meanwhile may
+    there take a chunk in several batches and needs a delay as long as a chunk.
     """
-    target = f"{watched}/{key.isoformat()}"
-    if path_exists(spark, f"{target}/_SUCCESS"):
-        return False
-    chunk = spark.read.schema(schema).parquet(f"{replay}/{_KEY}{key.isoformat()}")
-    chunk.write.mode("overwrite").parquet(target)
-    return True
+    return moved(spark, f"{replay}/{_KEY}{key.isoformat()}", f"{watched}/{key.isoformat()}")

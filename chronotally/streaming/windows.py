@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -12,13 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from chronotally.operators.rollups import tumbling_windows
 from chronotally.session import settings
 from chronotally.sources.tables import watch_folder
-from chronotally.streaming.progress import progress_of
+from chronotally.streaming.progress import Reports
 from chronotally.streaming.replay import chunk_keys, deliver
 
-# The state holds one row per open window and each task sends one row per window, so a few
-# state partitions do at any input size. Their number is fixed by the first run.
-STATE_PARTITIONS = 8
-
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -45,20 +42,24 @@ def start_windows(
     output: str,
     checkpoint: str,
     trigger: str | None = "10 seconds",
-    state_partitions: int = STATE_PARTITIONS,
-    output_files: int = 1,
+    state_partitions: int | None = None,
+    output_files: int | None = None,
     rocksdb: bool = False,
 ) -> StreamingQuery:
     """Append finished windows to Parquet, each exactly once across restarts.
 
-    ``trigger=None`` takes everything that has arrived and ends. Finished windows of a batch are
-    few rows, so they go to ``output_files`` files instead of one per state partition.
+    ``trigger=None`` takes everything that has arrived and ends. The state has as many partitions
+    as the session's shuffles, or ``state_partitions``; the first run fixes it. Each writes a
+    file of its own, or finished windows of a batch go to ``output_files`` files by a further
+    exchange.
     """
-    conf = {"spark.sql.shuffle.partitions": str(state_partitions)}
+    conf = {}
+    if state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     if rocksdb:
         conf["spark.sql.streaming.stateStore.providerClass"] = _ROCKSDB
     writer = (
-        windows.repartition(output_files)
+        (windows if output_files is None else windows.repartition(output_files))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -72,11 +73,20 @@ def start_windows(
         return writer.start(output)
 
 
-def finish(query: StreamingQuery, timeout_seconds: float = 3600) -> StreamingQuery:
-    """Wait for a query that ends by itself; stop it and complain if it does not."""
-    if not query.awaitTermination(timeout_seconds):
-        query.stop()
-        raise TimeoutError(f"streaming query still running after {timeout_seconds} s")
+def finish(
+    query: StreamingQuery, timeout_seconds: float | None = None, reports: Reports | None = None
+) -> StreamingQuery:
+    """Wait for a query that ends by itself; stop it and complain if it does not in the time given.
+    ``reports`` takes the progress of every batch on the way."""
+    end = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+    while not query.awaitTermination(0.2):
+        if reports is not None:
+            reports.take(query)
+        if end is not None and time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"streaming query still running after {timeout_seconds} s")
+    if reports is not None:
+        reports.take(query)
     return query
 
 
@@ -93,21 +103,24 @@ def replay_windows(
     watermark: str = "1 hour",
     count: str = "crashes",
     keys: Sequence[date] | None = None,
+    timeout_seconds: float | None = None,
+    archive: str | None = None,
     **start_options,
-) -> list[dict]:
+) -> Reports:
     """Feed the chunks of a replay set in order, one run per chunk, and return the progress of
     all batches.
 
-    All files of a chunk are in place before the run that reads them, so a chunk is one batch
-    however many files it has, and its own first file cannot make the rest of it late. Each run
-    goes on from the checkpoint, and chunks that arrived before are not fed again.
+    A chunk is handed over as a whole before the run that reads it, so it is one batch however
+    many files it has, and its own first file cannot make the rest of it late. Each run goes on
+    from the checkpoint; chunks that arrived before are not fed again. With no chunk left, one run
+    takes what a run before may have left behind. ``timeout_seconds`` is for each run.
     """
-    progress: list[dict] = []
-    for key in chunk_keys(spark, replay) if keys is None else keys:
-        deliver(spark, replay, watched, key, schema)
-        windows = windowed(
-            watch_folder(spark, watched, schema), event_time, measures, size, watermark, count
-        )
-        query = finish(start_windows(windows, output, checkpoint, trigger=None, **start_options))
-        progress += progress_of(query)
-    return progress
+    reports = Reports()
+    for key in (chunk_keys(spark, replay) if keys is None else keys) or [None]:
+        if key is not None:
+            deliver(spark, replay, watched, key)
+        stream = watch_folder(spark, watched, schema, archive=archive)
+        windows = windowed(stream, event_time, measures, size, watermark, count)
+        finish(start_windows(windows, output, checkpoint, trigger=None, **start_options), timeout_seconds, reports)
+    reports.ended = time.time()
+    return reports

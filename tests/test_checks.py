@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from chronotally import operators as op
 from chronotally.sources import read_output_or_none, table_status
@@ -71,6 +72,11 @@ def test_empty_output_fails(spark):
     assert checks["no negative sums"] == (True, 0, "bad=0")
 
 
+def test_no_checks_are_no_pass(spark):
+    none = op.window_checks(windows(spark, GOOD)).limit(0)
+    assert tuple(op.overall(none).first()) == (False, 0, "")
+
+
 def test_all_checks_take_one_pass(spark, tmp_path):
     windows(spark, GOOD).write.parquet(str(tmp_path / "w"))
     checks = op.window_checks(spark.read.parquet(str(tmp_path / "w")))
@@ -120,6 +126,11 @@ def test_reconcile(spark):
     }
     same = op.reconcile_windows(batch, batch, ["crashes", "injuries_total"])
     assert {r.status for r in same.collect()} == {"match"}  # NULL sums are equal
+    twice = op.reconcile_windows(batch, batch.unionByName(batch.limit(1)), ["crashes"])
+    assert sorted(r.status for r in twice.collect()) == ["duplicate", "match", "match"]
+    longer = batch.withColumn("window_end", F.col("window_end") + F.expr("INTERVAL '1' HOUR"))
+    statuses = {r.status for r in op.reconcile_windows(batch, longer, ["crashes"]).collect()}
+    assert statuses == {"missing_in_stream", "missing_in_batch"}
 
 
 def test_side_by_side(spark):

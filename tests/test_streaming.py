@@ -13,17 +13,18 @@ from chronotally.session import settings
 from chronotally.sources import read_output, schema_of, watch_folder
 from chronotally.spec import CRASH_RECORDS, CRASH_ROLLUPS
 from chronotally.streaming import (
+    Reports,
     chunk_keys,
     deliver,
     finish,
     progress_frame,
     replay_windows,
+    run_totals,
     start_windows,
     time_to_first_window,
     windowed,
     write_replay,
 )
-from chronotally.streaming.progress import progress_of
 from crash_rows import clean_frame
 
 SUMS = CRASH_ROLLUPS.window_sums
@@ -69,7 +70,9 @@ def run_once(spark, at, max_files=None, **options):
     stream = watch_folder(spark, at.watched, SCHEMA, max_files)
     options = {"trigger": None, **options}
     query = start_windows(windowed(stream, "CRASH_DATE", SUMS), at.output, at.checkpoint, **options)
-    return finish(query, 120)
+    reports = Reports()
+    finish(query, 120, reports)
+    return reports.all()
 
 
 def replay(spark, at, **options):
@@ -127,13 +130,55 @@ def test_hot_chunk_has_several_files_and_is_one_batch(spark, at):
     assert written == {t: v for t, v in batch.items() if t < last - HOUR}
 
 
+def test_no_chunk_counts_twice_without_success_markers(spark, crashes, at):
+    write_replay(crashes, "CRASH_DATE", at.replay, "day")
+    with settings(spark, {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}):
+        for _ in range(3):
+            replay(spark, at)
+    written = windows_of(read_output(spark, at.output))
+    batch = windows_of(op.tumbling_windows(crashes, "CRASH_DATE", SUMS))
+    assert written.items() <= batch.items() and len(written) == 5 * 24 - 2
+    assert chunk_keys(spark, at.replay) == []
+
+
+def test_a_live_stream_takes_each_chunk_in_one_batch(spark, crashes, at):
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        write_replay(crashes.repartition(4), "CRASH_DATE", at.replay, "day")
+    os.makedirs(at.watched)
+    windows = windowed(watch_folder(spark, at.watched, SCHEMA), "CRASH_DATE", SUMS)
+    query, reports = start_windows(windows, at.output, at.checkpoint, trigger="1 second"), Reports()
+    try:
+        for key in chunk_keys(spark, at.replay):
+            deliver(spark, at.replay, at.watched, key)
+            query.processAllAvailable()
+            reports.take(query)
+    finally:
+        query.stop()
+    assert [r["numInputRows"] for r in reports.all() if r["numInputRows"]] == [48] * 5
+    assert len(windows_of(read_output(spark, at.output))) == 5 * 24 - 2
+
+
+def test_all_batches_are_reported(spark, crashes, at):
+    start = time.time() - 10_000
+    for i in range(8):
+        one_file(crashes.filter(F.crc32("CRASH_RECORD_ID") % 8 == i), at.watched, f"{i}.parquet", start + i)
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "4"}):
+        progress = run_once(spark, at, max_files=1)
+    assert len(progress) >= 8 and sum(r["numInputRows"] for r in progress) == crashes.count()
+
+
+def test_taken_files_may_be_archived(spark, crashes, at, tmp_path):
+    write_replay(crashes, "CRASH_DATE", at.replay, "day")
+    replay(spark, at, archive=str(tmp_path / "archive"))
+    assert len(windows_of(read_output(spark, at.output))) == 5 * 24 - 2
+
+
 def test_delivery_is_resumed(spark, crashes, at):
     write_replay(crashes, "CRASH_DATE", at.replay, "day")
     key = chunk_keys(spark, at.replay)[0]
-    assert deliver(spark, at.replay, at.watched, key, SCHEMA)
-    assert not deliver(spark, at.replay, at.watched, key, SCHEMA)
-    os.remove(f"{at.watched}/{key}/_SUCCESS")  # as if the copy had been cut short
-    assert deliver(spark, at.replay, at.watched, key, SCHEMA)
+    assert deliver(spark, at.replay, at.watched, key)
+    assert key not in chunk_keys(spark, at.replay)
+    assert not deliver(spark, at.replay, at.watched, key)
     rows = spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(at.watched)
     assert rows.count() == 48
 
@@ -143,7 +188,7 @@ def test_delivery_is_resumed(spark, crashes, at):
 
 def test_stream_equals_batch_but_for_the_open_windows(spark, crashes, at):
     write_replay(crashes, "CRASH_DATE", at.replay, "day")
-    progress = replay(spark, at)
+    reports = replay(spark, at)
     written = read_output(spark, at.output)
     batch = op.tumbling_windows(crashes, "CRASH_DATE", SUMS)
     assert written.dtypes == batch.dtypes
@@ -154,12 +199,14 @@ def test_stream_equals_batch_but_for_the_open_windows(spark, crashes, at):
     statuses = op.reconcile_windows(batch, written, ["crashes", *SUMS]).groupBy("status").count()
     assert dict(map(tuple, statuses.collect())) == {"match": len(done), "missing_in_stream": 2}
 
-    batches = progress_frame(spark, progress).collect()
+    batches = progress_frame(spark, reports).collect()
     assert [b.input_rows for b in batches if b.input_rows] == [48] * 5
     assert sum(b.windows_out for b in batches) == len(done)
     assert batches[-1].state_rows == 2 and sum(b.rows_dropped for b in batches) == 0
-    assert time_to_first_window(progress) > 0
-    assert time_to_first_window(progress[:1]) is None
+    assert time_to_first_window(reports) > 0 and time_to_first_window(Reports()) is None
+    totals = run_totals(spark, reports, at.watched).first()
+    assert (totals.input_rows, totals.windows_out, totals.files_in) == (240, len(done), 5)
+    assert totals.batches == len(batches) and totals.seconds > 0
 
     # Fed again, nothing is new; a later chunk then lets the open windows out.
     replay(spark, at)
@@ -243,8 +290,7 @@ def test_a_delay_as_long_as_the_chunk_loses_nothing(spark, at):
 def test_other_files_in_the_folder_are_left_alone(spark, crashes, at):
     one_file(crashes, at.watched, "a.parquet", time.time())
     one_file(crashes, at.watched, "b.parquet.tmp", time.time())
-    query = run_once(spark, at)
-    assert sum(p["numInputRows"] for p in progress_of(query)) == crashes.count()
+    assert sum(p["numInputRows"] for p in run_once(spark, at)) == crashes.count()
 
 
 def test_stray_output_file_is_not_read(spark, crashes, at):
@@ -261,13 +307,12 @@ def test_restart_from_the_checkpoint(spark, crashes, at):
     write_replay(crashes, "CRASH_DATE", at.replay, "day")
     keys = chunk_keys(spark, at.replay)
     for key in keys[:2]:
-        deliver(spark, at.replay, at.watched, key, SCHEMA)
+        deliver(spark, at.replay, at.watched, key)
     run_once(spark, at)
     first = windows_of(read_output(spark, at.output))
     for key in keys[2:]:
-        deliver(spark, at.replay, at.watched, key, SCHEMA)
-    query = run_once(spark, at)
-    assert sum(p["numInputRows"] for p in progress_of(query)) == 3 * 48  # only what is new
+        deliver(spark, at.replay, at.watched, key)
+    assert sum(p["numInputRows"] for p in run_once(spark, at)) == 3 * 48  # only what is new
     both = windows_of(read_output(spark, at.output))
     assert first.items() < both.items() and len(both) == 5 * 24 - 2
 
