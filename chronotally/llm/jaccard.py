@@ -11,16 +11,16 @@ documents with equal sets are one entry from the start. The join goes rare first
    frequency, rarest first, those in one entry only before all; the first
    ``n - ceil(t * n) + 1`` are the prefix, and two similar entries have one of them in common.
 3. **Candidates.** Entries meet by the n-grams of their prefixes, subject to their lengths, to what
-   the places in the prefix leave possible, and to what the shared n-grams of each part of the hash
-   range leave possible (the suffix filter). Within one n-gram first only each entry and the one
-   most likely at the middle of its group meet; links found so far make groups; then entries of
-   different groups meet, until no pair of a similarity yet unknown is left between two groups. A
-   large group of near copies so costs about a check for each member, and no link between two
-   groups is missed. Each pair is verified once, exactly, on whole sets.
+   the places in the prefix leave possible, and to what sketches of their shared n-grams leave
+   possible (the suffix filter, a bound on how far the sets are apart). Within one n-gram first
+   only each entry and the one most likely at the middle of its group meet; links found so far
+   make groups; then all entries of different groups meet. A large group of near copies so costs about a check for each member, and no link between two
+   groups is missed. Pairs are verified exactly, on whole sets.
 
 A text without words, or null, is linked with nothing. Null ids take part; a group's id is the least
 id that is not null, null if there is none. Repeated rows are equal sets and one group. An empty
-table gives no rows. Other columns are ignored, whatever their names.
+table gives no rows. Other columns are ignored, but names that begin with ``_`` as those used inside
+(``_row _n _d _r _once``) are refused by Spark as ambiguous only in :func:`representatives`.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ from chronotally.llm.words import mix, slices, windows, words_of
 #: N-grams for each task that counts them, and the least number of such tasks.
 RANGE = 2_000_000
 LEAST_RANGES = 64
-_LOW = np.uint64((1 << 40) - 1)
+#: 64-bit words of a sketch.
+SKETCH = 8
 
 
 def sets_of(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,19 +110,25 @@ def _from_five(raw: np.ndarray) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
+def _row(text: str):
+    """Tells apart documents of one id."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def _entries(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
-                first, _, keys = sets_of(part.column(text), size)
+            for part in slices(batch, "text"):
+                first, _, keys = sets_of(part.column("text"), size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(doc_id), pa.array(np.diff(first)), pa.array(keys.view(np.int64))],
-                    names=["doc_id", "n_shingles", "key"],
+                    [part.column("doc_id"), part.column("row"), pa.array(np.diff(first)), pa.array(keys.view(np.int64))],
+                    names=["doc_id", "row", "n_shingles", "key"],
                 )
 
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, n_shingles bigint, key bigint")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _row(text).alias("row"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, row bigint, n_shingles bigint, key bigint")
 
 
 def _by_range(docs: DataFrame, text: str, size: int, ranges: int) -> DataFrame:
@@ -228,7 +235,9 @@ def _prefixed(percent: int):
         in_prefix = within < (n - need(n, percent) + 1)[rare_entry]
         by_hash = codes[np.lexsort((codes, entry))]
         middle = np.bincount(entry, weight, len(keys))
-        out = {"key": [], "n": [], "shared": [], "middle": [], "codes": [], "grams": [], "places": []}
+        bit = (mix(codes, 8) % np.uint64(64 * SKETCH)).astype(np.int64)
+        bit = bit[np.lexsort((codes, entry))]
+        out = {"key": [], "n": [], "shared": [], "middle": [], "codes": [], "sketch": [], "grams": [], "places": []}
         for i in np.flatnonzero(stays).tolist():
             a, b = first[i], first[i + 1]
             few = slice(a, a + int(in_prefix[a:b].sum()))
@@ -237,11 +246,13 @@ def _prefixed(percent: int):
             out["shared"].append(shared[i])
             out["middle"].append(middle[i] / n[i])
             out["codes"].append(by_hash[a:b].tobytes())
+            odd = np.bincount(bit[a:b], minlength=64 * SKETCH) & 1
+            out["sketch"].append(np.packbits(odd).view(np.int64))
             out["grams"].append(rare_codes[few].view(np.int64))
             out["places"].append(within[few].astype(np.int32))
         kinds = {
             "key": pa.int64(), "n": pa.int64(), "shared": pa.int64(), "middle": pa.float64(),
-            "codes": pa.binary(), "grams": pa.list_(pa.int64()), "places": pa.list_(pa.int32()),
+            "codes": pa.binary(), "sketch": pa.list_(pa.int64()), "grams": pa.list_(pa.int64()), "places": pa.list_(pa.int32()),
         }
         return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
@@ -249,7 +260,8 @@ def _prefixed(percent: int):
 
 
 _ENTRY = (
-    "key bigint, n bigint, shared bigint, middle double, codes binary, grams array<bigint>, places array<int>"
+    "key bigint, n bigint, shared bigint, middle double, codes binary, sketch array<bigint>, "
+    "grams array<bigint>, places array<int>"
 )
 
 
@@ -272,18 +284,36 @@ def _verified(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint, similar boolean")
 
 
+_ONE_SIDE = ("key", "n", "shared", "place", "root", *[f"w{i}" for i in range(SKETCH)])
+
+
+def _side(name: str) -> list:
+    """Columns of a posting for one side of a pair."""
+    columns = {"key": name, "n": f"n{name}", "shared": f"s{name}", "place": f"p{name}", "root": f"r{name}"}
+    sketch = [F.col(f"w{i}").alias(f"w{i}{name}") for i in range(SKETCH)]
+    return [F.col(c).alias(x) for c, x in columns.items()] + sketch
+
+
 def _possible(percent: int):
-    """Whether two entries that meet at an n-gram may be similar, by their lengths and by their places
-    in the order: up to the n-gram they share no more than the smaller place, plus one, and
-    behind it no more than the shorter rest."""
-    t = percent
-    least = F.ceil((F.col("na") + F.col("nb")) * t / (100 + t))
+    """Whether two entries that meet at an n-gram may be similar: by their lengths; by their places
+    in the order, as up to the n-gram they share no more than the smaller place, plus one, and
+    behind it no more than the shorter rest; and by their sketches. A sketch has a bit for each
+    part of the hash range, set if an odd number of the shared n-grams is in it, so two
+    sketches differ in no more bits than the sets in n-grams."""
+    least = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
     most = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    return (100 * F.least("na", "nb") >= t * F.greatest("na", "nb")) & (most >= least)
+    apart = F.lit(0)
+    for i in range(SKETCH):
+        apart = apart + F.bit_count(F.col(f"w{i}a").bitwiseXOR(F.col(f"w{i}b")))
+    return (
+        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        & (most >= least)
+        & (apart <= F.col("sa") + F.col("sb") - 2 * least)
+    )
 
 
 def links(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Documents (``doc_id, n_shingles, key``) and links ``a, b`` between keys that connect all similar ones."""
+    """Documents (``doc_id, row, n_shingles, key``) and links ``a, b`` between keys that connect all similar ones."""
     documents = stored(_entries(docs, doc_id, text, size), "ngram-documents")
     total = documents.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first().n
     ranges = max(LEAST_RANGES, -(-total // RANGE))
@@ -294,50 +324,72 @@ def links(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text
     )
     entries = stored(counted.groupBy("part").applyInArrow(_prefixed(percent), _ENTRY), "ngram-entries")
     zipped = F.explode(F.arrays_zip("grams", "places")).alias("z")
+    words = [F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH)]
     postings = stored(
-        entries.filter("size(grams) > 0").select("key", "n", "middle", zipped)
-        .select(F.col("z.grams").alias("gram"), "key", "n", F.col("z.places").alias("place"), "middle"),
+        entries.filter("size(grams) > 0").select("key", "n", "shared", "middle", *words, zipped)
+        .select(
+            F.col("z.grams").alias("gram"), "key", "n", "shared", F.col("z.places").alias("place"), "middle",
+            *[f"w{i}" for i in range(SKETCH)],
+        ),
         "ngram-postings",
     )
 
-    # Each entry and the middle of one of its n-grams: a check for each entry.
-    middles = stored(
-        postings.groupBy("gram").agg(
-            F.max(F.struct("middle", "key", "n", "place")).alias("m"), F.count("*").alias("members")
-        ).filter("members > 1").select("gram", "m"),
-        "ngram-middles",
-    )
-    near = postings.join(middles, "gram").select(
-        F.col("key").alias("a"), F.col("m.key").alias("b"), F.col("n").alias("na"), F.col("m.n").alias("nb"),
-        F.col("place").alias("pa"), F.col("m.place").alias("pb"), F.col("m.middle").alias("middle"),
-    )
-    stars = near.filter(F.col("a") != F.col("b")).filter(_possible(percent)).groupBy("a").agg(F.max(F.struct("middle", "b")).alias("m"))
+    # One check for each entry, with the middle of one of its n-grams.
+    alone = postings.withColumn("root", F.col("key"))
+    middles = alone.groupBy("gram").agg(
+        F.max(F.struct("middle", *_ONE_SIDE)).alias("m"), F.count("*").alias("members")
+    ).filter("members > 1").select("gram", "m.*")
+    hubs = stored(middles.select("gram", "middle", *_side("b")), "ngram-middles")
+    near = alone.select("gram", *_side("a")).join(hubs, "gram").filter((F.col("a") != F.col("b")) & _possible(percent))
+    stars = near.groupBy("a").agg(F.max(F.struct("middle", "b")).alias("m"))
     checked = stored(_verified(stars.select("a", F.col("m.b").alias("b")), entries, percent), "ngram-checked")
     found = checked.filter("similar").select("a", "b")
     roots = components(found)
 
-    # Then entries of different groups that meet at an n-gram.
-    placed = postings.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    placed = stored(placed.select("gram", "key", "n", "place", "root"), "ngram-placed")
-    mixed = placed.groupBy("gram").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r != s").select("gram")
+    # Then all entries of different groups that meet at an n-gram.
+    placed = stored(_with_roots(postings, roots), "ngram-placed")
+    mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("gram")
     open_postings = stored(placed.join(mixed, "gram"), "ngram-open")
-    a = open_postings.select("gram", F.col("key").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"))
-    b = open_postings.select("gram", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
-    meet = a.join(b, "gram").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).filter(_possible(percent))
+    a, b = (open_postings.select("gram", *_side(x)) for x in "ab")
+    meet = a.join(b, "gram").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _possible(percent))
     rest = stored(_verified(meet.select("a", "b").distinct(), entries, percent).filter("similar").select("a", "b"), "ngram-rest")
     return documents, found.unionByName(rest)
 
 
+def _with_roots(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    named = roots.withColumnRenamed("node", "key")
+    return postings.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _classes(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """``key, root`` and the ``least`` document of each set, those without an id last."""
+    roots = components(found).withColumnRenamed("node", "key")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row"))
+    sets = documents.filter("n_shingles > 0").groupBy("key").agg(least.alias("least"))
+    return stored(sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "ngram-classes")
+
+
 def groups(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document. Two are linked when their distinct
     ``size``-word shingles overlap by ``percent`` of their union; a component's id is its least."""
     documents, found = links(docs, size, percent, doc_id, text)
-    roots = components(found).withColumnRenamed("node", "key")
-    least = documents.groupBy("key").agg(F.min("doc_id").alias("least"))
-    classes = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    classes = stored(classes, "ngram-classes")
-    ids = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_key = stored(classes.join(stored(ids, "ngram-ids"), "root").select("key", "component_id"), "ngram-groups")
+    classes = _classes(documents, found)
+    ids = stored(classes.groupBy("root").agg(F.min("least.doc_id").alias("component_id")), "ngram-ids")
+    of_key = stored(classes.join(ids, "root").select("key", "component_id"), "ngram-groups")
     alone = documents.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     rest = documents.filter("n_shingles > 0").join(of_key, "key").select("doc_id", "n_shingles", "component_id")
     return rest.unionByName(alone)
+
+
+def representatives(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group, that with the least id, and all without words."""
+    documents, found = links(docs, size, percent, doc_id, text)
+    least = _classes(documents, found).groupBy("root").agg(F.min("least").alias("least"))
+    stay = least.select(F.col("least.doc_id").alias("_d"), F.col("least.row").alias("_r"), F.lit(True).alias("_once"))
+    alone = documents.filter("n_shingles = 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.lit(False).alias("_once"))
+    stay = stored(stay.unionByName(alone.distinct()), "ngram-stay")
+    rows = docs.withColumn("_row", _row(text))
+    joined = rows.join(stay, F.col(doc_id).eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")))
+    number = F.row_number().over(Window.partitionBy(doc_id, "_row").orderBy(text))
+    joined = joined.withColumn("_n", number).filter((F.col("_n") == 1) | ~F.col("_once"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
