@@ -2,8 +2,8 @@
 
 The documents of a task are one stream of ids, in their order. A sequence is a stretch of it. Cuts
 may stand behind a document (free) or behind a sentence or line (``sentence_cut`` ids' worth of
-padding); where neither comes for longer than a sequence, also at whole sequences counted from
-either end of the gap (``forced_cut``). Among all such cuts, those with the least padding plus
+padding); and inside a sentence (``forced_cut``) a whole sequence behind another place, where no
+better one is as near as that is worth, and at whole sequences before the end of a longer gap. Among all such cuts, those with the least padding plus
 penalties are found by dynamic programming. As the padding of a sequence is a constant less its
 length, the best last cut before each place is the least of a sliding window, kept in a queue that
 only rises; sequences of half or a quarter of the full length need no padding and are looked up.
@@ -50,24 +50,28 @@ def candidates(sizes: np.ndarray, sentence_ends: np.ndarray, size: int, sentence
     costs = np.concatenate((np.zeros(len(documents) + 1), np.full(len(inside), sentence_cut)))
     order = np.argsort(places, kind="stable")
     places, costs = places[order], costs[order]
+    # Whole sequences before each gap, and from each place on where nothing else is near.
     wide = np.flatnonzero(np.diff(places) > size)
-    if len(wide):
-        more = []
-        for a, b in zip(places[wide].tolist(), places[wide + 1].tolist()):
-            more.append(np.arange(a + size, b, size))
-            more.append(np.arange(b - size, a, -size))
-        more = np.unique(np.concatenate(more))
-        places = np.concatenate((places, more))
-        costs = np.concatenate((costs, np.full(len(more), forced_cut)))
-        order = np.argsort(places, kind="stable")
-        places, costs = places[order], costs[order]
+    more = [np.arange(b - size, a, -size) for a, b in zip(places[wide].tolist(), places[wide + 1].tolist())]
+    front = np.concatenate((places, *more))
+    while len(front):
+        front = np.unique(front + size)
+        front = front[front < total]
+        front = front[front - places[np.searchsorted(places, front, "right") - 1] > forced_cut]
+        front = np.setdiff1d(front, more[-1]) if more else front
+        more.append(front)
+    more = np.setdiff1d(np.concatenate(more), places) if more else np.zeros(0, np.int64)
+    places = np.concatenate((places, more))
+    costs = np.concatenate((costs, np.full(len(more), forced_cut)))
+    order = np.argsort(places, kind="stable")
+    places, costs = places[order], costs[order]
     assert total == places[-1]
     return places, costs
 
 
-def best_cuts(places: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
-    """The cuts, from 0 to the end, with the least sum of padding and penalties. Neighbouring
-    places are at most ``size`` apart; ``size`` is a power of two for the lookups to be of use."""
+def best_cuts(places: np.ndarray, costs: np.ndarray, size: int, short: float) -> list[int]:
+    """The cuts, from 0 to the end, with the least sum of padding and penalties, ``short`` being that
+    of a sequence of half or a quarter of ``size``. Neighbouring places are at most ``size`` apart; ``size`` is a power of two for the lookups to be of use."""
     at, cost = places.tolist(), costs.tolist()
     index = {p: i for i, p in enumerate(at)}
     least, came_from = [0.0] * len(at), [0] * len(at)
@@ -82,8 +86,8 @@ def best_cuts(places: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
         value = key[best] + size - here
         for length in unpadded:
             j = index.get(here - length)
-            if j is not None and least[j] < value:
-                best, value = j, least[j]
+            if j is not None and least[j] + short < value:
+                best, value = j, least[j] + short
         least[i], came_from[i] = value + cost[i], best
         mine = key[i] = least[i] + here
         while window and key[window[-1]] >= mine:
@@ -124,7 +128,7 @@ def pack(
             ids = np.concatenate(found)
             sizes = np.array([*map(len, found)], np.int64)
             marks = np.flatnonzero(ends_sentence[np.minimum(ids, len(ends_sentence) - 1)]) + 1
-            cuts = np.array(best_cuts(*candidates(sizes, marks, size, sentence_cut, forced_cut), size))
+            cuts = np.array(best_cuts(*candidates(sizes, marks, size, sentence_cut, forced_cut), size, sentence_cut))
             begins = np.cumsum(sizes) - sizes
             # A piece begins where a sequence or a document does.
             places = np.union1d(cuts[:-1], begins)
@@ -143,7 +147,7 @@ def pack(
             }
             if with_ids:
                 offsets = pa.array(np.append(places, len(ids)).astype(np.int32))
-                columns["ids"] = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int64)))
+                columns["ids"] = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
             sequence += len(cuts) - 1
             return pa.RecordBatch.from_pydict(columns)
 
@@ -164,5 +168,5 @@ def pack(
     for name in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"):
         schema = schema.add(name, T.LongType())
     if with_ids:
-        schema = schema.add("ids", T.ArrayType(T.LongType()))
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     return docs.select(doc_id, text).mapInArrow(run, schema)
