@@ -8,9 +8,9 @@ terms may weigh more or less together than each alone.
 
 The model is fitted on a bounded sample of labelled rows: at most ``per_class`` documents of each
 label, those with the least hash of their id, so 2 x 4,000 at first. Only terms whose rate differs
-clearly between the labels are known to it, the ``most_terms`` clearest of them. The bias is then
-moved to the share of the labels among all labelled rows. Both bounds are parameters; they bound what
-one task and the driver hold, and scoring covers every row.
+clearly between the labels are known to it, the ``most_terms`` clearest of them. Both labels weigh the
+same in the fit, so 0.5 is where a text is as typical of one as of the other. Both bounds are
+parameters; they bound what one task and the driver hold, and scoring covers every row.
 
 Null and empty texts have no term and get the score of the bias. Labels that are null, rows
 of labels without a document, and null ids are left out of the fit; repeated labels of a document
@@ -110,6 +110,7 @@ def fit(
     model = Model(all_terms[chosen], np.zeros(len(chosen)), draw.normal(0, 0.01, (len(chosen), factors)), 0.0)
     seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), factors), 1e-6), 1e-6
     begins = np.searchsorted(text, np.arange(n + 1))
+    weight = np.where(labels > 0, n / (2 * positive), n / (2 * (n - positive)))
     for _ in range(rounds):
         order = draw.permutation(n)
         for at in range(0, n, 256):
@@ -118,7 +119,7 @@ def fit(
             row = np.repeat(np.arange(len(some)), sizes)
             entry = np.arange(sizes.sum()) + np.repeat(begins[some] - (np.cumsum(sizes) - sizes), sizes)
             term = place[entry]
-            error = (logistic(model.bias + model.raw(row, term, len(some))) - labels[some]) / len(some)
+            error = (logistic(model.bias + model.raw(row, term, len(some))) - labels[some]) * weight[some] / len(some)
             used = np.unique(term)
             step = np.bincount(term, error[row], len(chosen))[used] + shrink * model.weights[used]
             seen_w[used] += step**2
@@ -131,7 +132,6 @@ def fit(
             model.weights[used] -= rate * step / np.sqrt(seen_w[used])
             seen_b += error.sum() ** 2
             model.bias -= rate * error.sum() / np.sqrt(seen_b)
-    model.bias += log_odds(prior) - log_odds(positive / n)
     return model
 
 
