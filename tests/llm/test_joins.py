@@ -1,0 +1,241 @@
+"""Line dedup, n-gram groups, components and nearest neighbours against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chronotally.llm import jaccard, line_dedup, neighbours
+from chronotally.llm.components import components
+
+WORDS = [f"w{i}" for i in range(40)]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def edited(draw, words, times):
+    words = list(words)
+    for _ in range(times):
+        at = draw.randrange(len(words) + 1)
+        kind = draw.randrange(3)
+        if kind == 0:
+            words.insert(at, draw.choice(WORDS))
+        elif kind == 1 and len(words) > 1:
+            del words[min(at, len(words) - 1)]
+        else:
+            words[min(at, len(words) - 1)] = draw.choice(WORDS)
+    return words
+
+
+def test_within_one_edit():
+    draw = random.Random(1)
+    for _ in range(2000):
+        a = draw.choices("abc", k=draw.randrange(7))
+        b = edited(draw, a, draw.randrange(3)) if a else draw.choices("abc", k=2)
+        assert line_dedup.within_one(a, b) == (distance(a, b) <= 1)
+
+
+def repeated_lines(rows, near_words):
+    order = sorted(
+        {(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0)
+    )
+    lines = [
+        (d, t, i, tuple(line.lower().split())) for d, t in order for i, line in enumerate(t.split("\n")) if line.split()
+    ]
+    gone = {}
+    for k, (d, t, i, words) in enumerate(lines):
+        for _, _, _, other in lines[:k]:
+            near = len(words) >= near_words and len(other) >= near_words and distance(words, other) <= 1
+            if words == other or near:
+                gone.setdefault((d, t), []).append(i)
+                break
+    return gone
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_lines_that_go(spark, seed):
+    draw = random.Random(seed)
+    pool = [draw.choices(WORDS[:6] if k % 3 else WORDS, k=draw.choice([1, 3, 4, 5, 8, 16, 17, 33])) for k in range(25)]
+    rows = []
+    for doc in range(40):
+        some = [edited(draw, draw.choice(pool), draw.choice([0, 0, 1, 1, 2])) for _ in range(draw.randrange(6))]
+        lines = [" ".join(w.upper() if draw.random() < 0.2 else w for w in words) for words in some]
+        lines.insert(draw.randrange(len(lines) + 1), draw.choice(["", "  ", "\t"]))
+        rows.append((doc, "\n".join(lines)))
+    rows += [(100, None), (101, ""), (None, "one\ntwo"), (3, rows[3][1])]
+    docs = spark.createDataFrame([(d, t, 5, "x") for d, t in rows], "doc_id bigint, text string, line int, Removed_Lines string")
+    got = line_dedup.without_repeated_lines(docs, near_words=4)
+    assert got.columns == ["doc_id", "text", "line", "removed_lines"]
+    gone = repeated_lines(rows, 4)
+    want = []
+    for d, t in rows:
+        numbers = gone.get((d, t), [])
+        kept = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in numbers)
+        want.append((d, kept, numbers))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted([(r.doc_id, r.text, r.removed_lines) for r in got.collect()], key=key) == sorted(want, key=key)
+
+
+def test_lines_of_no_documents(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert line_dedup.without_repeated_lines(docs).count() == 0
+
+
+def test_a_repeated_passage_goes(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    changed = passage.replace("p30", "q30")
+    docs = spark.createDataFrame([(1, "own one\n" + passage), (2, "own two\n" + changed), (3, passage)], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(docs).collect()}
+    assert got == {1: "own one\n" + passage, 2: "own two", 3: ""}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    draw = random.Random(seed)
+    n = 120
+    pairs = [(draw.randrange(n), draw.randrange(n)) for _ in range(70)] + [(i, i + 1) for i in range(200, 240)]
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = top(a), top(b)
+            parent[max(a, b)] = min(a, b)
+    links = spark.createDataFrame([*pairs, (None, 3)], "a bigint, b bigint")
+    got = {r.node: r.root for r in components(links).collect()}
+    assert got == {x: top(x) for x in parent}
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def grams(text, size):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in (text or "").split()]
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def groups(rows, size, percent):
+    sets = [grams(t, size) for _, t in rows]
+    of = list(range(len(rows)))
+
+    def top(x):
+        while of[x] != x:
+            x = of[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= percent * len(sets[i] | sets[j]):
+                of[top(i)] = top(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[top(i)] = min(least.get(top(i), d), d)
+    return sets, [least.get(top(i)) for i in range(len(rows))]
+
+
+def documents(draw):
+    texts = [" ".join(draw.choices(WORDS, k=draw.randrange(1, 70))) for _ in range(12)]
+    rows = []
+    for doc in range(90):
+        words = draw.choice(texts).split(" ")
+        rows.append((doc, " ".join(edited(draw, words, draw.choice([0, 1, 1, 2, 3, 6])))))
+    base = texts[0].split(" ")
+    for doc in range(200, 260):  # a chain, each a small step from the one before
+        base = edited(draw, base, 1)
+        rows.append((doc, " ".join(base).upper() if doc % 7 == 0 else " ".join(base)))
+    return rows + [(300, ""), (301, None), (302, " \n"), (303, "a b"), (304, "A  b"), (305, "b a"), (None, "a b"), (5, rows[5][1])]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("size, percent", [(4, 85), (5, 80), (1, 60)])
+def test_groups_of_similar_documents(spark, seed, size, percent):
+    rows = documents(random.Random(seed))
+    docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, key int").repartition(5)
+    sets, ids = groups(rows, size, percent)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
+    want = sorted([(d, len(s), i if s else d) for (d, _), s, i in zip(rows, sets, ids)], key=key)
+    got = [tuple(r) for r in jaccard.groups(docs, size, percent).collect()]
+    assert sorted(got, key=key) == want
+
+
+def test_one_document_of_each_group_stays(spark):
+    rows = documents(random.Random(8))
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id bigint, text string, lang string")
+    got = jaccard.representatives(docs)
+    sets, ids = groups(rows, 5, 80)
+    want = {i for s, i in zip(sets, ids) if s} | {d for (d, _), s in zip(rows, sets) if not s}
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+    assert jaccard.groups(docs.limit(0)).count() == 0 and jaccard.representatives(docs.limit(0)).count() == 0
+
+
+def exact(rows, k, asked):
+    vectors = {}
+    for i, v in rows:
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v) and len(v) == 4:
+            vectors[i] = np.array(v, float)
+    out = {}
+    for q in vectors:
+        if asked(q):
+            scores = [(-float(v @ vectors[q] / np.linalg.norm(v) / np.linalg.norm(vectors[q])), i) for i, v in vectors.items() if i != q]
+            out[q] = [(i, -s) for s, i in sorted((round(s, 12), i) for s, i in scores)[:k]]
+    return out
+
+
+def test_nearest_of_few_vectors(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in draw.normal(size=4)]) for i in range(60)]
+    rows += [(i, rows[7][1]) for i in range(100, 140)] + [(200, None), (201, []), (202, [0.0] * 4), (203, [1.0, None, 1.0, 1.0])]
+    rows += [(204, [float("nan"), 1.0, 1.0, 1.0]), (205, [float("inf"), 1.0, 1.0, 1.0]), (206, [1.0, 2.0]), (210, rows[7][1])]
+    table = spark.createDataFrame([(i, v, 3) for i, v in rows] + [(None, [1.0] * 4, 3)], "vec_id bigint, embedding array<float>, list int")
+    single = [(i, [float(np.float32(x)) if x is not None else None for x in v] if v else v) for i, v in rows]
+    want = exact(single, 5, lambda q: q % 10 == 0)
+    got = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 10 == 0, ratio=1e9).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got.keys() == want.keys()
+    for q, near in want.items():
+        assert [i for i, _ in got[q]] == [i for i, _ in near]
+        assert [s for _, s in got[q]] == pytest.approx([s for _, s in near], abs=1e-12)
+
+
+def test_nearest_of_one_and_of_none(spark):
+    table = spark.createDataFrame([(10, [1.0, 2.0])], "vec_id bigint, embedding array<float>")
+    assert neighbours.nearest(table, F.col("vec_id") % 10 == 0).count() == 0
+    assert neighbours.nearest(table.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_recall_of_the_nearest(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    ids = np.array([i for i, _ in rows])
+    unit = np.array([v for _, v in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    got = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    found = []
+    for at in np.flatnonzero(ids % 50 == 0):
+        scores = unit @ unit[at]
+        scores[at] = -9
+        want = set(ids[np.lexsort((ids, -scores))[:5]].tolist())
+        found.append(len(want & got[int(ids[at])]) / 5)
+    assert np.mean(found) >= 0.9
