@@ -19,8 +19,7 @@ documents with equal sets are one entry from the start. The join goes rare first
 
 A text without words, or null, is linked with nothing. Null ids take part; a group's id is the least
 id that is not null, null if there is none. Repeated rows are equal sets and one group. An empty
-table gives no rows. Other columns are ignored, but names that begin with ``_`` as those used inside
-(``_row _n _d _r _once``) are refused by Spark as ambiguous only in :func:`representatives`.
+table gives no rows. Other columns may have any names; :func:`representatives` keeps them.
 """
 
 from __future__ import annotations
@@ -388,8 +387,9 @@ def representatives(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     stay = least.select(F.col("least.doc_id").alias("_d"), F.col("least.row").alias("_r"), F.lit(True).alias("_once"))
     alone = documents.filter("n_shingles = 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.lit(False).alias("_once"))
     stay = stored(stay.unionByName(alone.distinct()), "ngram-stay")
-    rows = docs.withColumn("_row", _row(text))
-    joined = rows.join(stay, F.col(doc_id).eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")))
-    number = F.row_number().over(Window.partitionBy(doc_id, "_row").orderBy(text))
-    joined = joined.withColumn("_n", number).filter((F.col("_n") == 1) | ~F.col("_once"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Whole rows are one column, so that no name of theirs meets one used here.
+    rows = docs.select(F.struct("*").alias("whole"), F.col(doc_id).alias("id"), _row(text).alias("row"))
+    joined = rows.join(stay, F.col("id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r")))
+    number = F.row_number().over(Window.partitionBy("id", "row").orderBy(F.col("whole").getField(text)))
+    joined = joined.withColumn("number", number).filter((F.col("number") == 1) | ~F.col("_once"))
+    return joined.select("whole.*")

@@ -226,11 +226,16 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     gone = repeated_lines(docs, doc_id, text, near_words).select(
         F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("lines").alias("removed_lines")
     )
-    same = F.col(doc_id).eqNullSafe(F.col("_d")) & (_row(text) == F.col("_r"))
-    joined = docs.join(gone, same, "left").withColumn(
+    # Whole rows are one column, so that no name of theirs meets one used here.
+    rows = docs.select(F.struct("*").alias("whole"), F.col(doc_id).alias("id"), _row(text).alias("row"))
+    same = F.col("id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r"))
+    joined = rows.join(gone, same, "left").withColumn(
         "removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>"))
     )
-    lines = F.split(F.col(text), "\n", -1)
+    whole_text = F.col("whole").getField(text)
+    lines = F.split(whole_text, "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains("removed_lines", i))
-    cut = F.when(F.size("removed_lines") == 0, F.col(text)).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn(text, cut).select(*[F.col(f"`{c}`") for c in docs.columns], "removed_lines")
+    cut = F.when(F.size("removed_lines") == 0, whole_text).otherwise(F.array_join(kept, "\n"))
+    return joined.select(
+        *[cut.alias(c) if c == text else F.col("whole").getField(c).alias(c) for c in docs.columns], "removed_lines"
+    )

@@ -16,7 +16,7 @@ Law ``rows``: the counts of the shards differ by one at most; the first ones hav
 
 Rows with equal ids and texts may stand for one another. A null text has no bytes and the checksum
 of none; null ids are hashed as any value. An empty table gives no rows. Input columns named like a
-result are replaced.
+result are replaced, those named like a working column (``_block _key _at _deal _bucket _again _before``) left out.
 """
 
 from __future__ import annotations

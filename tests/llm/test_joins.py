@@ -72,9 +72,9 @@ def test_lines_that_go(spark, seed):
         lines.insert(draw.randrange(len(lines) + 1), draw.choice(["", "  ", "\t"]))
         rows.append((doc, "\n".join(lines)))
     rows += [(100, None), (101, ""), (None, "one\ntwo"), (3, rows[3][1])]
-    docs = spark.createDataFrame([(d, t, 5, "x") for d, t in rows], "doc_id bigint, text string, line int, Removed_Lines string")
+    docs = spark.createDataFrame([(d, t, 5, "x") for d, t in rows], "doc_id bigint, text string, _d int, Removed_Lines string")
     got = line_dedup.without_repeated_lines(docs, near_words=4)
-    assert got.columns == ["doc_id", "text", "line", "removed_lines"]
+    assert got.columns == ["doc_id", "text", "_d", "removed_lines"]
     gone = repeated_lines(rows, 4)
     want = []
     for d, t in rows:
@@ -178,7 +178,7 @@ def test_groups_of_similar_documents(spark, seed, size, percent):
 
 def test_one_document_of_each_group_stays(spark):
     rows = documents(random.Random(8))
-    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id bigint, text string, lang string")
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id bigint, text string, _row string")
     got = jaccard.representatives(docs)
     sets, ids = groups(rows, 5, 80)
     want = {i for s, i in zip(sets, ids) if s} | {d for (d, _), s in zip(rows, sets) if not s}
