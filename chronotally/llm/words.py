@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 _PIECE = 1 << 20
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 # Odd multipliers; any would do.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD1342543DE82EF95)
@@ -101,7 +101,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about 4 MB of text; a longer text is a slice of its own."""
+    """A batch in slices of about 1 MB of text; a longer text is a slice of its own."""
     column = batch.column(text)
     if not len(column):
         return
