@@ -288,10 +288,10 @@ def encoder(path: str, pattern: str, **options):
     machine, _ = _machines(path)
     matches = regex.compile(pattern)
 
+    pieces = Memo(lambda new: (np.array(machine.encode(p.encode()), "<u4").tobytes() for p in new), 400_000)
+
     def encode(new: list[str]) -> Iterable[bytes]:
-        for part in new:
-            ids = [i for piece in matches.findall(part) for i in machine.encode(piece.encode())]
-            yield np.array(ids, "<u4").tobytes()
+        return map(b"".join, pieces.take([matches.findall(part) for part in new]))
 
     memo = Memo(encode, **options)
     return lambda texts: [np.frombuffer(b"".join(x), "<u4") for x in memo.take([parts(t or "") for t in texts])]

@@ -19,7 +19,7 @@ import numpy as np
 
 _SIDE_BY_SIDE = re.compile(r" \s|\s ")
 _RUNS = re.compile(r"\s*\S+|\s+")
-_MOST = 400_000
+_MOST = 800_000
 _LONGEST = 64
 
 
@@ -31,17 +31,21 @@ def parts(text: str) -> list[str]:
 
 
 class Memo:
-    """Values of distinct parts, from a function that gives those of a list of parts."""
+    """Values of distinct parts, from a function that gives those of a list of parts. What was
+    needed since the memory was last half full stays, the rest is forgotten."""
 
     def __init__(self, encode: Callable[[list[str]], Iterable], most: int = _MOST):
-        self.encode, self.most, self.known = encode, most, {}
+        self.encode, self.most, self.known, self.before = encode, most, {}, {}
 
     def take(self, lists: list[list[str]]) -> list[list]:
         """The values of each list of parts. Long parts are encoded and not remembered."""
-        need = set().union(*lists) if lists else set()
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = list(need.difference(self.known))
+        need = set().union(*lists).difference(self.known) if lists else set()
+        if len(self.known) + len(need) > self.most // 2:
+            self.before, self.known = self.known, {}
+            need = set().union(*lists)
+        again = need.intersection(self.before)
+        self.known.update(zip(again, map(self.before.__getitem__, again)))
+        new = list(need.difference(again))
         self.known.update(zip(new, self.encode(new)))
         get = self.known.__getitem__
         out = [[*map(get, one)] for one in lists]
