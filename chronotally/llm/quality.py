@@ -5,7 +5,8 @@ Each line with a word is judged on its own:
 * **navigation**: at least three words that are only separators, a fifth of its words or more
 * **symbols**: a tenth or more of its characters are of ``#*$%&|<>``, and there are five or more
 * **punctuation**: twenty words or more and no mark that ends a sentence anywhere
-* **boilerplate**: at most 40 words, with a phrase of notices, menus or consent banners
+* **boilerplate**: at most 40 words with a notice or consent banner, or at most twelve that begin
+  with a phrase of menus or prompts or mostly hold one; such phrases inside of prose do not count
 
 Lines without a word are kept as they are. What is left is the cleaned text. A document is
 rejected if it fails the base rules (fewer than ten words, or over a fifth of its words in
@@ -30,13 +31,35 @@ from chronotally.llm.tables import appended, extended, without
 from chronotally.llm.words import line_codes, lines_of, slices, windows, words_of
 
 SEPARATORS = frozenset({b"|", b">", b"<", b"/", b"\xc2\xbb", b"\xc2\xab", b"\xc2\xb7", b"\xe2\x80\xa2", b"-", b"*"})
-BOILERPLATE = re.compile(
-    rb"all rights reserved|\bcopyright\b|licen[sc]ed under|released under the|public license"
-    rb"|privacy policy|terms of (?:use|service)|accept (?:all )?cookies|uses cookies"
+#: What a line needs for a closer look.
+_CANDIDATE = re.compile(
+    rb"all rights reserved|copyright|licen[sc]ed under|released under|public licen[sc]e"
+    rb"|privacy policy|terms of (?:use|service)|accept (?:all )?cookies|use[sd]? cookies"
     rb"|enable javascript|skip to (?:main )?content|sign in|log ?in to|subscribe to|click here"
     rb"|back to top|share this",
     re.I,
 )
+#: Notices wherever they stand in a line.
+_NOTICE = re.compile(
+    r"\b(?:all rights reserved|accept (?:all )?cookies|(?:site|page|service|shop|store|app|blog)s? uses? cookies|we use cookies"
+    r"|enable javascript|skip to (?:main )?content|agree to (?:our|the|these) (?:terms of (?:use|service)|privacy policy))\b"
+    r"|\bcopyright\W{0,2}(?:©|\(c\))|(?:©|\(c\))\W{0,2}copyright\b",
+    re.I,
+)
+#: Phrases of prose as well: they count where they begin a short line or a part of it between separators.
+_BEGINS = re.compile(
+    r"(?:^|[|•·»/>])\W*(?:(?:please|you (?:must|need to|have to)|(?:this|the) \w+ (?:is|are|was)) )?\b(?:"
+    r"sign in(?=\W*$|\s*[^\w\s]|\s+(?:to|with|or|using|now|here|for|again|below)\b)|log ?in to\b|subscribe to\b|click here\b|share this\b"
+    r"|back to top\b|privacy policy(?=\W*$|\s*[^\w\s])|terms of (?:use|service)(?=\W*$|\s*[^\w\s])"
+    r"|copyright(?=\W*(?:$|\d{4}|by\b|(?-i:[A-Z])))"
+    r"|(?:licen[sc]ed|released) under (?:(?:the|a|an) )?(?:(?:cc|cc0|creative commons|[al]?gpl|gnu|mit|bsd|apache|mozilla)\b|[^;]*\blicen[sc]e\b))",
+    re.I,
+)
+#: Those that count if they are half of a short line or more, or its end.
+_MOST = re.compile(r"\b(?:privacy policy|terms of (?:use|service)|back to top|public licen[sc]e|click here)\b", re.I)
+_AT_END = re.compile(r"\bclick here\W*$", re.I)
+#: Words of a short line.
+SHORT = 12
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _ENDS = re.compile(rb"[.!?;:]|\xe2\x80\xa6|\xe3\x80\x82|\xd8\x9f|\xef\xbc\x81|\xef\xbc\x9f")
@@ -54,6 +77,19 @@ COLUMNS = {
 }
 
 
+def boilerplate(line: bytes, n_words: int) -> bool:
+    """Whether a line is a notice, a menu entry or a consent banner, and no prose with such words."""
+    if n_words > 40 or not _CANDIDATE.search(line):
+        return False
+    text = line.decode()
+    if _NOTICE.search(text):
+        return True
+    if n_words > SHORT:
+        return False
+    most = sum(len(m.group().split()) for m in _MOST.finditer(text))
+    return 2 * most >= n_words or _BEGINS.search(text) is not None or _AT_END.search(text) is not None
+
+
 def line_fails(line: bytes) -> bool:
     """Whether a line with at least one word breaks a rule."""
     words = line.split()
@@ -65,8 +101,7 @@ def line_fails(line: bytes) -> bool:
         and 10 * symbols >= sum(map(len, words))
         or len(words) >= 20
         and not _ENDS.search(line)
-        or len(words) <= 40
-        and BOILERPLATE.search(line) is not None
+        or boilerplate(line, len(words))
     )
 
 

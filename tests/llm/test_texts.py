@@ -85,6 +85,43 @@ def test_line_rules(line, fails):
     assert quality.line_fails(line) is fails
 
 
+PROSE = [
+    "The design includes two towers and a hall that was finished in 1931.",
+    "It was the first sign indicating that the river would rise again.",
+    "He studied industrial design in Milan before he moved to the coast.",
+    "Many historians share this view of the early years of the town.",
+    "The album was released under the title of its first song.",
+    "Few economists subscribe to that theory in the form first proposed.",
+    "Copyright law protects the authors of books for seventy years.",
+    "A clinic licensed under state law opened near the old station.",
+    "She came back to top form in the second half of the season.",
+    "Visitors click here and there without reading what the page says.",
+    "In terms of use of water the new plant is better.",
+]
+
+
+@pytest.mark.parametrize("line", PROSE)
+def test_prose_with_a_phrase_of_notices_stays(line):
+    assert not quality.line_fails(line.encode())
+    judged = quality._judge(pa.array([line]), 0.5)
+    assert judged["cleaned"].to_pylist() == [line] and judged["kept"].to_pylist() == [True]
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "Sign in", "Sign in to continue", "Please sign in to comment.", "Log in to your account", "Share this:", "Home | Share this | Print",
+        "Subscribe to our newsletter!", "Click here to read more", "To read the full story, click here.", "Copyright 2020 The Authors",
+        "© Copyright 2011 Example Ltd", "Content copyright © 2012 by its owners, who may be asked for leave to print parts of it.",
+        "Privacy Policy | Terms of Service", "This site uses cookies to improve your visit.", "Back to top", "Skip to main content",
+        "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "© 2019 Example Inc. All rights reserved.",
+    ],
+)
+def test_notices_and_prompts_go(line):
+    assert quality.line_fails(line.encode())
+
+
 def test_quality_of_odd_rows(spark):
     good = "A sentence with quite a few different words stands here. Another one follows it."
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, good), (7, good), (7, good), (8, "a | b | c | d | e\n" + good)]
