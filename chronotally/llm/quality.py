@@ -4,7 +4,7 @@ Each line with a word is judged on its own:
 
 * **navigation**: at least three words that are only separators, a fifth of its words or more
 * **symbols**: a tenth or more of its characters are of ``#*$%&|<>``, and there are five or more
-* **punctuation**: twenty words or more and no mark that ends a sentence anywhere
+* **punctuation**: twenty words or more and no mark that ends a sentence, of any script, anywhere
 * **boilerplate**: at most 40 words with a notice or consent banner, or at most twelve that begin
   with a phrase of menus or prompts or mostly hold one; such phrases inside of prose do not count
 
@@ -62,7 +62,18 @@ _AT_END = re.compile(r"\bclick here\W*$", re.I)
 SHORT = 12
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_ENDS = re.compile(rb"[.!?;:]|\xe2\x80\xa6|\xe3\x80\x82|\xd8\x9f|\xef\xbc\x81|\xef\xbc\x9f")
+#: Code points of the Unicode property Sentence_Terminal.
+_TERMINAL = (
+    "21 2e 3f 589 61d-61f 6d4 700-702 7f9 837 839 83d-83e 964-965 104a-104b 1362 1367-1368 166e 1735-1736 17d4-17d5 "
+    "1803 1809 1944-1945 1aa8-1aab 1b4e-1b4f 1b5a-1b5b 1b5e-1b5f 1b7d-1b7f 1c3b-1c3c 1c7e-1c7f 2024 203c-203d "
+    "2047-2049 2cf9-2cfb 2e2e 2e3c 2e53-2e54 2e60-2e61 3002 a4ff a60e-a60f a6f3 a6f7 a876-a877 a8ce-a8cf a92f "
+    "a9c8-a9c9 aa5d-aa5f aaf0-aaf1 abeb fe12 fe15-fe16 fe52 fe56-fe57 ff01 ff0e ff1f ff61 10a56-10a57 10f55-10f59 "
+    "10f86-10f89 11047-11048 110be-110c1 11141-11143 111c5-111c6 111cd 111de-111df 11238-11239 1123b-1123c 112a9 "
+    "113d4-113d5 1144b-1144c 115c2-115c3 115c9-115d7 11641-11642 1173c-1173e 11944 11946 11a42-11a43 11a9b-11a9c "
+    "11c41-11c42 11ef7-11ef8 11f43-11f44 16a6e-16a6f 16af5 16b37-16b38 16b44 16d6e-16d6f 16e98 1bc9f 1da88"
+)
+_ENDS = re.compile("[;:\u2026" + "".join("-".join(chr(int(c, 16)) for c in r.split("-")) for r in _TERMINAL.split()) + "]")
+_ASCII_ENDS = re.compile(rb"[.!?;:]")
 
 COLUMNS = {
     "n_words": "bigint",
@@ -100,7 +111,8 @@ def line_fails(line: bytes) -> bool:
         or symbols >= 5
         and 10 * symbols >= sum(map(len, words))
         or len(words) >= 20
-        and not _ENDS.search(line)
+        and not _ASCII_ENDS.search(line)
+        and not _ENDS.search(line.decode())
         or boilerplate(line, len(words))
     )
 

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers as tokenizers_files
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -85,6 +86,17 @@ def test_line_rules(line, fails):
     assert quality.line_fails(line) is fails
 
 
+@pytest.mark.parametrize("mark", ["\u0964", "\u06d4", "\u1362", "\u0589", "\u104b", "\u17d4", "\u3002", "\uff61", "\u2026", "."])
+def test_sentences_end_in_any_script(mark):
+    line = " ".join(["\u0915\u0916"] * 24)
+    assert quality.line_fails(line.encode()) and not quality.line_fails((line + mark).encode())
+
+
+def test_marks_are_those_of_the_unicode_property():
+    own = {c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and quality._ENDS.match(chr(c))}
+    assert own - set(map(ord, ";:\u2026")) >= {c for c in range(0x110000) if regex.match(r"\p{Sentence_Terminal}", chr(c))} - set(map(ord, ";:\u2026"))
+
+
 PROSE = [
     "The design includes two towers and a hall that was finished in 1931.",
     "It was the first sign indicating that the river would rise again.",
