@@ -8,11 +8,13 @@ terms may weigh more or less together than each alone.
 
 The model is fitted on a bounded sample of labelled rows: at most ``per_class`` documents of each
 label, those with the least hash of their id, so 2 x 4,000 at first. Only terms whose rate differs
-clearly between the labels are known to it, the ``most_terms`` clearest of them. Both labels weigh the
-same in the fit, so 0.5 is where a text is as typical of one as of the other. Both bounds are
-parameters; they bound what one task and the driver hold, and scoring covers every row.
+clearly between the labels are known to it, the ``most_terms`` clearest of them. A term is in five
+documents of the sample or more; if a label has fewer, in as many, and half of them have that label. Both
+labels weigh the same in the fit, so 0.5 is where a text is as typical of one as of the other. Both
+bounds are parameters; they bound what one task and the driver hold, and scoring covers every row.
 
-Null and empty texts have no term and get the score of the bias. Labels that are null, rows
+A text without a known term, such as a null or empty one, tells nothing: its score is the share of
+toxic rows, whatever the fit. So is every score if no term tells the labels apart. Labels that are null, rows
 of labels without a document, and null ids are left out of the fit; repeated labels of a document
 count once, as toxic if one of them is. Without labels of both kinds every score is the share of
 toxic rows, 0 without any. Repeated documents are scored each. Input columns named like a result are
@@ -51,19 +53,21 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """``known`` codes in order, a weight and a vector for each, and the bias."""
+    """``known`` codes in order, a weight and a vector for each, the bias, and the log odds of texts without a known term."""
 
     known: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
     bias: float
+    unknown: float
 
     def scores(self, text: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
         place = np.searchsorted(self.known, codes)
         place[place == len(self.known)] = 0
         hit = self.known[place] == codes if len(self.known) else np.zeros(len(codes), bool)
         text, place = text[hit], place[hit]
-        return logistic(self.bias + self.raw(text, place, n))
+        told = np.bincount(text, minlength=n) > 0
+        return logistic(np.where(told, self.bias + self.raw(text, place, n), self.unknown))
 
     def raw(self, text: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
         out = np.bincount(text, self.weights[place], n) if len(text) else np.zeros(n)
@@ -90,8 +94,9 @@ def fit(
 ) -> Model:
     """A machine from the distinct terms of each document of the sample, by AdaGrad."""
     n, positive = len(labels), int(labels.sum())
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), log_odds(prior), log_odds(prior))
     if not 0 < positive < n:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), log_odds(prior))
+        return nothing
     text = np.repeat(np.arange(n), [*map(len, documents)])
     codes = np.concatenate(documents)
     all_terms, place, total = np.unique(codes, return_inverse=True, return_counts=True)
@@ -99,7 +104,13 @@ def fit(
     share, other = toxic / positive, (total - toxic) / (n - positive)
     both = total / n
     clear = np.abs(share - other) / np.sqrt(both * (1 - both) * (1 / positive + 1 / (n - positive)) + 1e-12)
-    chosen = np.flatnonzero((total >= 5) & (clear >= 4))
+    least = min(5, positive, n - positive)
+    enough = total >= least
+    if least < 5:
+        enough &= 2 * (toxic if positive <= n - positive else total - toxic) >= total
+    chosen = np.flatnonzero(enough & (clear >= 4))
+    if not len(chosen):
+        return nothing
     chosen = np.sort(chosen[np.argsort(-clear[chosen], kind="stable")[:most_terms]])
     number = np.full(len(all_terms), -1)
     number[chosen] = np.arange(len(chosen))
@@ -107,7 +118,7 @@ def fit(
     text, place = text[place >= 0], place[place >= 0]
 
     draw = np.random.default_rng(seed)
-    model = Model(all_terms[chosen], np.zeros(len(chosen)), draw.normal(0, 0.01, (len(chosen), factors)), 0.0)
+    model = Model(all_terms[chosen], np.zeros(len(chosen)), draw.normal(0, 0.01, (len(chosen), factors)), 0.0, log_odds(prior))
     seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), factors), 1e-6), 1e-6
     begins = np.searchsorted(text, np.arange(n + 1))
     weight = np.where(labels > 0, n / (2 * positive), n / (2 * (n - positive)))
@@ -183,6 +194,7 @@ def train(
                 "vectors": [model.vectors.tobytes()],
                 "factors": [model.vectors.shape[1]],
                 "bias": [model.bias],
+                "unknown": [model.unknown],
             }
         )
 
@@ -191,7 +203,7 @@ def train(
     fitted = (
         rows.withColumn("all", F.lit(0))
         .groupBy("all")
-        .applyInArrow(fit_all, "known binary, weights binary, vectors binary, factors bigint, bias double")
+        .applyInArrow(fit_all, "known binary, weights binary, vectors binary, factors bigint, bias double, unknown double")
         .collect()
     )
     if not fitted:
@@ -202,6 +214,7 @@ def train(
         np.frombuffer(row.weights, np.float64),
         np.frombuffer(row.vectors, np.float64).reshape(-1, row.factors),
         row.bias,
+        row.unknown,
     )
 
 

@@ -31,6 +31,43 @@ def test_pairs_of_terms_are_learned():
     assert ((scores >= 0.5) == np.array(labels[1200:])).mean() > 0.98
 
 
+@pytest.mark.parametrize("n_clean", [20, 300, 4000])
+@pytest.mark.parametrize("n_toxic", [1, 2, 3, 4])
+def test_clean_documents_stay_if_toxic_labels_are_rare(n_toxic, n_clean):
+    draw = np.random.default_rng(n_toxic * n_clean)
+    common = lambda: draw.zipf(1.3, 60).astype(np.uint64) + np.uint64(1000)
+    documents = [np.unique(np.concatenate((common(), np.array([1, 2], np.uint64)))) for _ in range(n_toxic)]
+    documents += [np.unique(common()) for _ in range(n_clean)]
+    model = toxicity.fit(documents, np.repeat([1.0, 0.0], [n_toxic, n_clean]), n_toxic / (n_toxic + n_clean))
+    assert {1, 2} <= set(model.known.tolist())
+    rest = [np.unique(common()) for _ in range(1000)]
+    scores = model.scores(np.repeat(np.arange(1000), [*map(len, rest)]), np.concatenate(rest), 1001)
+    assert (scores >= 0.5).mean() < 0.005 and scores[1000] < 0.5
+    own = model.scores(np.repeat(np.arange(n_toxic), [*map(len, documents[:n_toxic])]), np.concatenate(documents[:n_toxic]), n_toxic)
+    assert (own >= 0.5).all()
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_labels_that_no_term_tells_apart_keep_clean_documents(seed):
+    draw = np.random.default_rng(seed)
+    documents = [np.unique(draw.integers(1, 30, 12)).astype(np.uint64) for _ in range(60)]
+    model = toxicity.fit(documents, np.repeat([1.0, 0.0], [6, 54]), 0.1)
+    assert not len(model.known) or (model.unknown == toxicity.log_odds(0.1))
+    scores = model.scores(np.zeros(0, np.int64), np.zeros(0, np.uint64), 3)
+    assert scores.tolist() == pytest.approx([0.1] * 3)
+
+
+@pytest.mark.parametrize("n_toxic", [1, 3])
+def test_the_filter_keeps_clean_documents_with_few_toxic_labels(spark, n_toxic):
+    draw = random.Random(n_toxic)
+    vocabulary = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + i * 7 % 26)}" for i in range(400)]
+    rows = [(i, " ".join(draw.choices(vocabulary, k=50)) + (" zzvile qqfoul" if i < n_toxic else "")) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (1000, ""), (1001, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < n_toxic)) for i in range(150)], "doc_id bigint, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert {d for d, p in got.items() if p} == set(range(n_toxic))
+
+
 def test_held_out_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
