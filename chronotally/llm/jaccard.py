@@ -5,7 +5,8 @@ documents with equal sets are one entry from the start. The join goes rare first
 
 1. **Frequencies.** Each task packs the n-grams of its entries by range of the hash. A task for each
    range counts in how many entries an n-gram is, and gives back those that are in two or more, with
-   the magnitude of that count. All others can join nothing.
+   the magnitude of that count. All others can join nothing. A range that a frequent n-gram makes
+   large is dealt by entries to several tasks; their counts are added up before magnitudes go back.
 2. **Prefixes.** An entry of ``n`` n-grams with a similar one shares at least ``ceil(t * n)`` with it.
    Entries that share fewer n-grams with all others together are alone. The rest are ordered by
    frequency, rarest first, those in one entry only before all; the first
@@ -130,33 +131,109 @@ def _entries(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, row bigint, n_shingles bigint, key bigint")
 
 
-def _by_range(docs: DataFrame, text: str, size: int, ranges: int) -> DataFrame:
-    """``range, packed``: n-grams of the entries of a slice, packed by range of the hash."""
+def _range_of(codes: np.ndarray, ranges: int) -> np.ndarray:
+    return ((codes >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int64)
+
+
+def _once(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and sizes of all sets, and ``(doc, codes)`` of one entry for each key."""
+    first, codes, keys = sets_of(column, size)
+    sizes = np.diff(first)
+    once = np.zeros(len(keys), bool)
+    once[np.unique(keys, return_index=True)[1]] = True
+    doc = np.repeat(np.arange(len(keys)), sizes)
+    take = once[doc]
+    return keys, sizes, doc[take], codes[take]
+
+
+def _salts(docs: DataFrame, text: str, size: int, ranges: int) -> dict[int, int]:
+    """Ranges with over one and a half times ``RANGE`` n-grams, and to how many tasks each is dealt."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(ranges, np.int64)
+        for batch in batches:
+            for part in slices(batch, text):
+                n += np.bincount(_range_of(_once(part.column(text), size)[3], ranges), minlength=ranges)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some])], names=["range", "n"])
+
+    sums = docs.select(text).mapInArrow(run, "range int, n bigint").groupBy("range").agg(F.sum("n").alias("n"))
+    return {r.range: -(-r.n // RANGE) for r in sums.filter(F.col("n") > RANGE * 3 // 2).collect()}
+
+
+def _by_range(docs: DataFrame, text: str, size: int, ranges: int, salts: dict[int, int], hot: bool) -> DataFrame:
+    """``range, salt, packed``: n-grams of the entries of a slice, packed by range of the hash; either
+    the ranges of ``salts``, apart by a hash of the entry, or all others."""
+    many = np.ones(ranges, np.int64)
+    many[list(salts)] = list(salts.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                first, codes, keys = sets_of(part.column(text), size)
-                sizes = np.diff(first)
-                once = np.zeros(len(keys), bool)
-                once[np.unique(keys, return_index=True)[1]] = True
-                doc = np.repeat(np.arange(len(keys)), sizes)
-                take = once[doc]
-                doc, codes = doc[take], codes[take]
-                of = ((codes >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int64)
-                order = np.lexsort((doc, of))
-                doc, codes, of = doc[order], codes[order], of[order]
-                cut = np.searchsorted(of, np.arange(ranges + 1))
+                keys, sizes, doc, codes = _once(part.column(text), size)
+                of = _range_of(codes, ranges)
+                take = (many[of] > 1) == hot
+                doc, codes, of = doc[take], codes[take], of[take]
+                salt = (mix(keys, 9)[doc] % many[of].astype(np.uint64)).astype(np.int64)
+                order = np.lexsort((doc, salt, of))
+                doc, codes, of, salt = doc[order], codes[order], of[order], salt[order]
+                new = np.ones(len(of) + 1, bool)
+                new[1:-1] = (of[1:] != of[:-1]) | (salt[1:] != salt[:-1])
+                cut = np.flatnonzero(new).tolist() if len(of) else []
                 rows = []
-                for r in np.flatnonzero(np.diff(cut)).tolist():
-                    a, b = cut[r], cut[r + 1]
+                for a, b in zip(cut, cut[1:]):
                     inside, counts = np.unique(doc[a:b], return_counts=True)
-                    rows.append((r, _pack(keys[inside], sizes[inside], counts, _five(codes[a:b]))))
+                    rows.append((of[a], salt[a], _pack(keys[inside], sizes[inside], counts, _five(codes[a:b]))))
                 if rows:
-                    ids, packed = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(packed)], names=["range", "packed"])
-
-    return docs.select(text).mapInArrow(run, "range int, packed binary")
+                    ids, salted, packed = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int32()), pa.array(salted, pa.int32()), pa.array(packed)], names=["range", "salt", "packed"]
+                    )
+
+    return docs.select(text).mapInArrow(run, "range int, salt int, packed binary")
+
+
+def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and sizes of the entries of a group, each once, and ``(entry, codes)`` of their n-grams."""
+    blobs = [_unpack(x.as_py(), (5,)) for x in table.column("packed")]
+    keys = np.concatenate([b[0] for b in blobs])
+    sizes = np.concatenate([b[1] for b in blobs])
+    counts = np.concatenate([b[2] for b in blobs]).astype(np.int64)
+    codes = _from_five(np.concatenate([b[3][0] for b in blobs]))
+    begins = np.cumsum(counts) - counts
+    keys, at = np.unique(keys, return_index=True)  # copies in other tasks
+    sizes, counts, begins = sizes[at], counts[at], begins[at]
+    entry = np.repeat(np.arange(len(keys)), counts)
+    codes = codes[np.arange(counts.sum()) + np.repeat(begins - (np.cumsum(counts) - counts), counts)]
+    return keys, sizes, entry, codes
+
+
+def _magnitude(n: np.ndarray) -> np.ndarray:
+    return np.ceil(np.log2(n)).astype(np.uint8)
+
+
+_COUNTED = "part int, range int, packed binary"
+
+
+def _by_part(number: int, ranges: int, keys, sizes, entry, codes, weight) -> pa.Table:
+    """N-grams of a range, packed by part of the entries."""
+    part = (keys % np.uint64(ranges)).astype(np.int64)
+    order = np.lexsort((codes, entry, part[entry]))
+    entry, codes, weight = entry[order], codes[order], weight[order]
+    cut = np.searchsorted(part[entry], np.arange(ranges + 1))
+    rows = []
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        a, b = cut[p], cut[p + 1]
+        inside, start, many = np.unique(entry[a:b], return_index=True, return_counts=True)
+        rows.append((p, number, _pack(keys[inside], sizes[inside], many, _five(codes[a:b]), weight[a:b])))
+    parts, numbers, packed = zip(*rows) if rows else ((), (), ())
+    return pa.table(
+        {
+            "part": pa.array(parts, pa.int32()),
+            "range": pa.array(numbers, pa.int32()),
+            "packed": pa.array(packed, pa.binary()),
+        }
+    )
 
 
 def _counted(ranges: int):
@@ -164,16 +241,7 @@ def _counted(ranges: int):
 
     def run(table: pa.Table) -> pa.Table:
         number = table.column("range")[0].as_py()
-        blobs = [_unpack(x.as_py(), (5,)) for x in table.column("packed")]
-        keys = np.concatenate([b[0] for b in blobs])
-        sizes = np.concatenate([b[1] for b in blobs])
-        counts = np.concatenate([b[2] for b in blobs]).astype(np.int64)
-        codes = _from_five(np.concatenate([b[3][0] for b in blobs]))
-        begins = np.cumsum(counts) - counts
-        keys, at = np.unique(keys, return_index=True)  # copies in other tasks
-        sizes, counts, begins = sizes[at], counts[at], begins[at]
-        entry = np.repeat(np.arange(len(keys)), counts)
-        codes = codes[np.arange(counts.sum()) + np.repeat(begins - (np.cumsum(counts) - counts), counts)]
+        keys, sizes, entry, codes = _gathered(table)
         order = np.argsort(codes, kind="stable")
         sorted_codes = codes[order]
         edge = np.flatnonzero(np.concatenate(([True], sorted_codes[1:] != sorted_codes[:-1], [True])))
@@ -181,28 +249,58 @@ def _counted(ranges: int):
         shared = np.zeros(len(codes), np.int64)
         shared[order] = n_of
         take = shared > 1
-        entry, codes, weight = entry[take], codes[take], np.ceil(np.log2(shared[take])).astype(np.uint8)
-        part = (keys % np.uint64(ranges)).astype(np.int64)
-        order = np.lexsort((codes, entry, part[entry]))
-        entry, codes, weight = entry[order], codes[order], weight[order]
-        cut = np.searchsorted(part[entry], np.arange(ranges + 1))
-        rows = []
-        for p in np.flatnonzero(np.diff(cut)).tolist():
-            a, b = cut[p], cut[p + 1]
-            inside, start, many = np.unique(entry[a:b], return_index=True, return_counts=True)
-            rows.append((p, number, _pack(keys[inside], sizes[inside], many, _five(codes[a:b]), weight[a:b])))
-        parts, numbers, packed = zip(*rows) if rows else ((), (), ())
-        return pa.table(
-            {
-                "part": pa.array(parts, pa.int32()),
-                "range": pa.array(numbers, pa.int32()),
-                "packed": pa.array(packed, pa.binary()),
-            }
-        )
+        return _by_part(number, ranges, keys, sizes, entry[take], codes[take], _magnitude(shared[take]))
 
     return run
 
 
+def _distinct(table: pa.Table) -> pa.Table:
+    """For a salt of a range: its n-grams, each once with the number of entries."""
+    codes, n = np.unique(_gathered(table)[3], return_counts=True)
+    packed = pa.array([codes.astype("<u8").tobytes()], pa.binary())
+    counts = pa.array([n.astype("<i8").tobytes()], pa.binary())
+    return pa.table({"range": table.column("range")[:1], "salt": table.column("salt")[:1], "codes": packed, "counts": counts})
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """For a range: the counts of all salts added up. Each salt gets those of its own n-grams."""
+    codes = [np.frombuffer(x.as_py(), "<u8") for x in table.column("codes")]
+    counts = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column("counts")])
+    distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, place, counts)
+    ends = np.cumsum([len(c) for c in codes])[:-1]
+    sums = [x.astype("<i8").tobytes() for x in np.split(total[place], ends)]
+    return table.set_column(table.schema.get_field_index("counts"), "counts", pa.array(sums, pa.binary()))
+
+
+def _weighed(ranges: int):
+    """As :func:`_counted` for a salt of a range, with the counts of the whole range."""
+
+    def run(table: pa.Table, sums: pa.Table) -> pa.Table:
+        number = table.column("range")[0].as_py()
+        keys, sizes, entry, codes = _gathered(table)
+        known = np.frombuffer(sums.column("codes")[0].as_py(), "<u8")
+        shared = np.frombuffer(sums.column("counts")[0].as_py(), "<i8")[np.searchsorted(known, codes)]
+        take = shared > 1
+        return _by_part(number, ranges, keys, sizes, entry[take], codes[take], _magnitude(shared[take]))
+
+    return run
+
+
+def _frequencies(docs: DataFrame, text: str, size: int, ranges: int) -> DataFrame:
+    """``part, range, packed``: n-grams that two or more entries have, by part of the entries."""
+    salts = _salts(docs, text, size, ranges)
+    cold = _by_range(docs, text, size, ranges, salts, hot=False).groupBy("range").applyInArrow(_counted(ranges), _COUNTED)
+    if not salts:
+        return cold
+    hot = stored(_by_range(docs, text, size, ranges, salts, hot=True), "ngram-hot")
+    kind = "range int, salt int, codes binary, counts binary"
+    sums = hot.groupBy("range", "salt").applyInArrow(_distinct, kind).groupBy("range").applyInArrow(_added, kind)
+    both = hot.groupBy("range", "salt").cogroup(sums.groupBy("range", "salt"))
+    return cold.unionByName(both.applyInArrow(_weighed(ranges), _COUNTED))
+
+
 def _prefixed(percent: int):
     """For a part of the entries: those that may have a similar one, with their shared n-grams in
     order of the hash and the n-grams of their prefix that others have."""
@@ -316,11 +414,7 @@ def links(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text
     documents = stored(_entries(docs, doc_id, text, size), "ngram-documents")
     total = documents.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first().n
     ranges = max(LEAST_RANGES, -(-total // RANGE))
-    counted = (
-        _by_range(docs, text, size, ranges)
-        .groupBy("range")
-        .applyInArrow(_counted(ranges), "part int, range int, packed binary")
-    )
+    counted = _frequencies(docs, text, size, ranges)
     entries = stored(counted.groupBy("part").applyInArrow(_prefixed(percent), _ENTRY), "ngram-entries")
     zipped = F.explode(F.arrays_zip("grams", "places")).alias("z")
     words = [F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH)]

@@ -176,6 +176,36 @@ def test_groups_of_similar_documents(spark, seed, size, percent):
     assert sorted(got, key=key) == want
 
 
+def test_no_task_holds_all_entries_of_a_frequent_ngram(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "RANGE", 150)
+    draw = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(6))
+    rows = [(i, passage + " " + " ".join(f"u{draw.randrange(10**6)}" for _ in range(12))) for i in range(600)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(0, 600, 3)]
+    rows += [(d + 5000, t) for d, t in documents(draw)[:-2]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    ranges = 200
+    salts = jaccard._salts(docs, "text", 4, ranges)
+    assert 1 <= len(salts) <= 6 and max(salts.values()) >= 5
+    sizes = {}
+    for hot in (False, True):
+        for r in jaccard._by_range(docs, "text", 4, ranges, salts, hot).collect():
+            assert (r.range in salts) == hot
+            n = int(np.frombuffer(r.packed, "<u8", 2)[1])
+            sizes[r.range, r.salt] = sizes.get((r.range, r.salt), 0) + n
+    assert max(sizes.values()) <= 2 * jaccard.RANGE
+    sets, ids = groups(rows, 4, 85)
+    want = {d: (len(s), i if s else d) for (d, _), s, i in zip(rows, sets, ids)}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.groups(docs).collect()} == want
+    key = lambda packed: {
+        (k, c, w) for keys, _, counts, (codes, weight) in [jaccard._unpack(packed, (5, 1))]
+        for k, c, w in zip(np.repeat(keys, counts).tolist(), jaccard._from_five(codes).tolist(), weight.reshape(-1).tolist())
+    }
+    salted = {(r.range, *x) for r in jaccard._frequencies(docs, "text", 4, ranges).collect() for x in key(r.packed)}
+    monkeypatch.setattr(jaccard, "RANGE", 10**6)
+    assert salted == {(r.range, *x) for r in jaccard._frequencies(docs, "text", 4, ranges).collect() for x in key(r.packed)}
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = documents(random.Random(8))
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id bigint, text string, _row string")
