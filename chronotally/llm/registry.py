@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotally.llm import binary, bpe, chat, chat_sql, jaccard, line_dedup, neighbours, packing, sharding, toxicity
+from chronotally.llm import (
+    binary, bpe, chat, chat_sql, filter_audit, filter_audit_sql, jaccard, line_dedup, neighbours, packing, sharding, toxicity,
+    warc, warc_sql,
+)
 from chronotally.llm.quality import quality
 from chronotally.session import run_folder
 
@@ -113,3 +116,21 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("removed_lines").cast("bigint").alias("n_removed"),
         F.array_join("removed_lines", " ").alias("removed_lines"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
     )
+
+
+@_query("op13_filter_audit", filter_audit_sql.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove at each step of each of their orders."""
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query("op11_warc", warc_sql.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC files and read back by its URL."""
+    path, pages = run_folder(spark, "warc"), _table(spark, folder, "pages")
+    warc.write_archive(pages, path)
+    found, kind = warc.read_urls(spark, path, pages, with_payload=False), pages.schema["page_id"].dataType
+    return found.select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
