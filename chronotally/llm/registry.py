@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotally.llm import (
-    binary, bpe, chat, chat_sql, filter_audit, filter_audit_sql, jaccard, line_dedup, neighbours, packing, sharding, toxicity,
+    binary, bpe, chat, chat_sql, filter_audit, filter_audit_sql, jaccard, line_dedup, neighbours, packing, repair, sharding, toxicity,
     warc, warc_sql,
 )
 from chronotally.llm.quality import quality
@@ -134,3 +134,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
         F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"),
     )
+
+
+@_query("op12_conversation_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The faults of damaged conversations and the cheapest edits that mend them."""
+    return repair.repair(_table(spark, folder, "conversations"))
