@@ -48,6 +48,7 @@ KEEP, REROLE, DELETE, INSERT, STAY_TRUNCATED = 0, 1, 2, 5, 5
 _START, _SYSTEM, _USER, _ASSISTANT = range(4)
 _AFTER = {(_START, "s"): _SYSTEM, (_USER, "a"): _ASSISTANT} | {(q, "u"): _USER for q in (_START, _SYSTEM, _ASSISTANT)}
 _NEXT = {q: "u" for q in (_START, _SYSTEM, _ASSISTANT)} | {_USER: "a"}
+_REACHED = {_START: range(4), _SYSTEM: range(1, 4), _USER: range(2, 4), _ASSISTANT: range(2, 4)}
 _ROLES = {"u": "user", "a": "assistant"}
 _LEGAL = ("su", "ua", "au")
 # Edits that complete a conversation behind its last row, by the state it is in.
@@ -103,6 +104,8 @@ def _edits(rows: tuple[Row, ...], i: int, state: int, goal: int | None) -> list[
 def cheapest(rows: tuple[Row, ...], start: int = _START, goal: int | None = None) -> tuple[int, str] | None:
     """Cost and initials of the cheapest edits from state ``start`` to the end of the rows in state ``goal``;
     without a goal to a well-formed end, with inserts behind the last row. None if there are none."""
+    if goal is not None and goal not in _REACHED[start]:
+        return None
     left = _least_left(rows)
     # Deleting all rows and inserting what leads to the goal costs no more than this.
     most = left[0] + sum((DELETE + STAY_TRUNCATED) * (1 + copies) for _, _, copies in rows) + 3 * INSERT
@@ -121,6 +124,8 @@ def cheapest(rows: tuple[Row, ...], start: int = _START, goal: int | None = None
         while path:
             edits, cost, _ = path[-1]
             for initials, more, i, state in edits:
+                if goal is not None and goal not in _REACHED[state]:
+                    continue
                 so_far = cost + more
                 if so_far + left[i] > bound:
                     beyond = min(beyond, so_far + left[i])
