@@ -4,6 +4,7 @@ from chronotally.operators.checks import (
     misaligned,
     overall,
     readback_check,
+    rows_read_check,
     window_duration_checks,
     window_alignment_checks,
     window_checks,
@@ -17,7 +18,6 @@ from chronotally.operators.compare import (
 )
 from chronotally.operators.filters import (
     event_time_slice,
-    has_event_time,
     window_slice,
     years_between,
 )
@@ -37,4 +37,5 @@ from chronotally.operators.rollups import (
     sums_by_month,
     tumbling_windows,
     with_calendar,
+    with_run,
 )

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def has_event_time(df: DataFrame, event_time: str) -> DataFrame:
-    return df.filter(F.col(event_time).isNotNull())
-
-
 def years_between(df: DataFrame, first: int, last: int, year: str = "year") -> DataFrame:
     """Both years included. Give the partition column and other years are not even listed."""
     return df.filter(F.col(year).between(first, last))

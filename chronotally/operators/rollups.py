@@ -155,11 +155,18 @@ def run_summary(
         F.max(event_time).alias("last_event"),
         F.count("*").alias("rows_processed"),
     )
+    return with_run(out, elapsed_seconds, outputs)
+
+
+def with_run(
+    summary: DataFrame, elapsed_seconds: float | None = None, outputs: Sequence[str] | None = None
+) -> DataFrame:
+    """A summary with what a run wrote and the time it took, where they are given."""
     if outputs is not None:
-        out = out.withColumn("outputs", F.array(*map(F.lit, outputs)))
+        summary = summary.withColumn("outputs", F.array(*map(F.lit, outputs)))
     if elapsed_seconds is not None:
-        out = out.withColumn("elapsed_seconds", F.lit(float(elapsed_seconds)))
-    return out
+        summary = summary.withColumn("elapsed_seconds", F.lit(float(elapsed_seconds)))
+    return summary
 
 
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:

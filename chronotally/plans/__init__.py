@@ -1,2 +1,2 @@
-from chronotally.plans.clean import CleanCounts, clean, typed_records, write_clean
-from chronotally.plans.gold import GoldRun, outputs_by_category, outputs_by_time, time_rollup, write_gold
+from chronotally.plans.clean import CleanCounts, clean, reclean_months, typed_records, write_clean
+from chronotally.plans.gold import GoldRun, outputs_by_category, outputs_by_time, time_rollup, write_analysis, write_gold

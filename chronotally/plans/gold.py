@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronotally.functions.calendar import year_month
-from chronotally.operators.rollups import breakdown, sums
+from chronotally.operators.reuse import kept
+from chronotally.operators.rollups import breakdown, sums, with_calendar
 from chronotally.session import run_folder
 from chronotally.sinks.parquet import write_table
 from chronotally.sources.tables import read_output
@@ -87,6 +88,18 @@ def outputs_by_category(df: DataFrame, spec: RollupSpec) -> dict[str, DataFrame]
     return {out: breakdown(df, column, spec.group_count) for out, column in spec.categories.items()}
 
 
+def write_analysis(
+    df: DataFrame, event_time: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], root: str
+) -> list[str]:
+    """Write several outputs made from one table with calendar columns, each to its own folder below ``root``.
+    The table is read and its calendar worked out once; it is kept, in memory or on disk, until the last
+    output is written."""
+    with kept(with_calendar(df, event_time), len(outputs)) as frame:
+        for name, make in outputs.items():
+            write_table(make(frame), f"{root.rstrip('/')}/{name}")
+    return list(outputs)
+
+
 @dataclass(frozen=True)
 class GoldRun:
     """What a run wrote, and how long it took."""

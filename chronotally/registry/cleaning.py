@@ -13,24 +13,42 @@ from chronotally import plans
 from chronotally.functions import lenient_int, parse_time
 from chronotally.registry.base import query
 from chronotally.registry.tables import (
+    LONG_SQL,
     ORDER_RECORDS,
     ORDER_ROLLUPS,
     RAW_SQL,
+    SHORT_SQL,
     TEXT_TIME,
+    ragged_csv,
     raw_csv,
     raw_orders,
+    table,
 )
 from chronotally.session import run_folder
 from chronotally.sinks import write_table
-from chronotally.sources import read_bronze, read_cleaned, read_output
+from chronotally.sources import (
+    data_files,
+    read_bronze,
+    read_cleaned,
+    read_output,
+    stored_extremes,
+    stored_rows,
+    stored_rows_by,
+    stored_summary,
+)
 from chronotally.streaming import write_replay
 
 
-def _stored(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame, plans.CleanCounts]:
-    """Write the cleaned table from CSV and read it back with its explicit schema."""
+def _written(spark: SparkSession, folder: str, label: str) -> tuple[str, plans.CleanCounts]:
+    """Write the cleaned table from CSV."""
     raw = read_bronze(spark, raw_csv(spark, folder, f"{label}-csv"), multi_line=False)
     path = run_folder(spark, f"{label}-clean")
-    counts = plans.write_clean(raw, ORDER_RECORDS, path)
+    return path, plans.write_clean(raw, ORDER_RECORDS, path)
+
+
+def _stored(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame, plans.CleanCounts]:
+    """The cleaned table read back with its explicit schema."""
+    path, counts = _written(spark, folder, label)
     return read_cleaned(spark, path, ORDER_RECORDS.schema()), counts
 
 
@@ -88,15 +106,66 @@ def bronze_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     select count(*) as rows_in,
       count(*) filter (happened is null) as dropped_bad_time,
       count(*) filter (year not between 1996 and 1999) as dropped_out_of_scope,
-      count(*) filter (year between 1996 and 1999) as rows_out
+      count(*) filter (year between 1996 and 1999) as rows_out,
+      (select count(*) from orders where {SHORT_SQL} or {LONG_SQL}) as ragged
     from dated""",
 )
 def etl_drop_counts(spark: SparkSession, folder: str) -> DataFrame:
-    _, counts = _stored(spark, folder, "counts")
+    """Rows dropped, and rows with too few or too many fields, which are padded or cut."""
+    path = ragged_csv(spark, folder, "counts-csv")
+    raw = read_bronze(spark, path, ORDER_RECORDS.columns, multi_line=False, ragged="odd")
+    counts = plans.write_clean(raw, ORDER_RECORDS, run_folder(spark, "counts-clean"), ragged="odd")
+    names = ("rows_in", "dropped_bad_time", "dropped_out_of_scope", "rows_out", "ragged")
     return spark.createDataFrame(
-        [(counts.rows_in, counts.dropped_bad_time, counts.dropped_out_of_scope, counts.rows_out)],
-        "rows_in bigint, dropped_bad_time bigint, dropped_out_of_scope bigint, rows_out bigint",
+        [tuple(getattr(counts, n) for n in names)], ", ".join(f"{n} bigint" for n in names)
+    )
+
+
+@query(
+    "ragged_rows_padded",
+    f"""with {RAW_SQL} select s.* replace (case when {SHORT_SQL} then null else s.priority end as priority)
+    from silver s join orders on s.record_id = cast(o_orderkey as varchar)""",
+)
+def ragged_rows_padded(spark: SparkSession, folder: str) -> DataFrame:
+    """Short rows end in NULL, what is too much of long ones is cut."""
+    path = ragged_csv(spark, folder, "ragged-csv")
+    return plans.clean(
+        read_bronze(spark, path, ORDER_RECORDS.columns, multi_line=False, ragged="odd"), ORDER_RECORDS
+    )
+
+
+# One month is delivered again with every other record, one with none.
+_AGAIN, _GONE = (1997, 5), (1998, 2)
+
+
+@query(
+    "month_cleaned_again",
+    f"""with {RAW_SQL}
+    select year, month, count(*) as n, not (year = 1997 and month = 5) as files_left_alone from silver
+    where not (year = 1997 and month = 5 and cast(record_id as bigint) % 2 = 1)
+      and not (year = 1998 and month = 2)
+    group by 1, 2""",
+)
+def month_cleaned_again(spark: SparkSession, folder: str) -> DataFrame:
+    """Two months are cleaned again; the files of the others are those of the first run."""
+    path, _ = _written(spark, folder, "again")
+    listed = run_folder(spark, "again-files")
+    data_files(spark, path).select(F.col("path").alias("old")).write.parquet(listed)
+    typed = F.year("happened_at") * 12 + F.month("happened_at")
+    raw = raw_orders(spark, folder).withColumn("happened_at", parse_time(F.col("happened"), TEXT_TIME))
+    odd = F.col("record_id").cast("bigint") % 2 == 1
+    again, gone = (F.coalesce(typed == y * 12 + m, F.lit(False)) for y, m in (_AGAIN, _GONE))
+    plans.reclean_months(raw.filter(~(again & odd) & ~gone), ORDER_RECORDS, path, [_AGAIN, _GONE])
+    old = spark.read.parquet(listed)
+    part = [F.regexp_extract("path", rf"/{p}=(\d+)/", 1).cast("int").alias(p) for p in ("year", "month")]
+    left = (
+        data_files(spark, path)
+        .join(old, F.col("path") == F.col("old"), "left")
+        .groupBy(*part)
+        .agg(F.bool_and(F.col("old").isNotNull()).alias("files_left_alone"))
     )
+    rows = read_cleaned(spark, path, ORDER_RECORDS.schema()).groupBy("year", "month").agg(F.count("*").alias("n"))
+    return rows.join(left, ["year", "month"])
 
 
 @query("silver_write_readback", f"with {RAW_SQL} select * from silver")
@@ -113,8 +182,42 @@ def silver_write_readback(spark: SparkSession, folder: str) -> DataFrame:
     from silver""",
 )
 def check_silver_readback(spark: SparkSession, folder: str) -> DataFrame:
-    stored, counts = _stored(spark, folder, "readback-check")
-    return op.readback_check(stored, counts.rows_out)
+    path, counts = _written(spark, folder, "readback-check")
+    return op.rows_read_check(stored_rows(spark, path), counts.rows_out)
+
+
+@query(
+    "silver_rows_by_month",
+    f"with {RAW_SQL} select year, month, count(*) as n from silver group by 1, 2",
+)
+def silver_rows_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each folder, from the footers of its files."""
+    path, _ = _written(spark, folder, "footers")
+    return stored_rows_by(spark, path, ["year", "month"], "n")
+
+
+@query(
+    "silver_summary",
+    f"""with {RAW_SQL} select min(happened) as first_event, max(happened) as last_event,
+      count(*) as rows_processed from silver""",
+)
+def silver_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows from the footers, first and last event time from the first and the last month alone."""
+    path, _ = _written(spark, folder, "summary")
+    return stored_summary(spark, path, "happened", ORDER_RECORDS.schema())
+
+
+@query(
+    "stored_extremes",
+    " union all ".join(
+        f"""select '{c}' as "column", cast(min({c}) as varchar) as least, cast(max({c}) as varchar) as greatest,
+        count({c}) as values from lineitem"""
+        for c in ("l_orderkey", "l_linenumber", "l_quantity")
+    ),
+)
+def extremes_of_line_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Least and greatest of number columns, from the footers."""
+    return stored_extremes(spark, f"{folder}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
 @query(
@@ -202,6 +305,28 @@ def gold_readback(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "shared_frame_outputs",
+    """select 'by_weekday' as output, dayname(o_orderdate) as bucket, count(*) as n from orders group by 2
+    union all select 'by_week', cast(weekofyear(o_orderdate) as varchar), count(*) from orders group by 2
+    union all select 'by_date', cast(cast(o_orderdate as date) as varchar), count(*) from orders group by 2""",
+)
+def shared_frame_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three outputs of one table with calendar columns, which is worked out once."""
+    keys = {"by_weekday": "day_of_week", "by_week": "week_of_year", "by_date": "date"}
+
+    def counts(key: str):
+        return lambda df: df.groupBy(F.col(key).cast("string").alias("bucket")).agg(F.count("*").alias("n"))
+
+    root = run_folder(spark, "analysis")
+    orders = table(spark, folder, "orders").select("o_orderdate")
+    names = plans.write_analysis(orders, "o_orderdate", {name: counts(key) for name, key in keys.items()}, root)
+    return reduce(
+        DataFrame.unionByName,
+        [read_output(spark, f"{root}/{name}").withColumn("output", F.lit(name)) for name in names],
+    )
+
+
 def _names_and_all(inventory: DataFrame) -> DataFrame:
     """What is there by name, and the conclusion; counts and sizes of files depend on the cluster."""
     whole = op.all_present(inventory).select(
@@ -238,9 +363,10 @@ def output_inventory(spark: SparkSession, folder: str) -> DataFrame:
 )
 def timed_run_summary(spark: SparkSession, folder: str) -> DataFrame:
     """A batch run from the cleaned table to all outputs, with the time it took."""
-    stored, _ = _stored(spark, folder, "timed")
-    run = plans.write_gold(stored, ORDER_ROLLUPS, run_folder(spark, "timed-gold"))
-    summary = op.run_summary(stored, "happened", run.elapsed_seconds, run.outputs)
+    path, _ = _written(spark, folder, "timed")
+    schema = ORDER_RECORDS.schema()
+    run = plans.write_gold(read_cleaned(spark, path, schema), ORDER_ROLLUPS, run_folder(spark, "timed-gold"))
+    summary = op.with_run(stored_summary(spark, path, "happened", schema), run.elapsed_seconds, run.outputs)
     return summary.withColumns(
         {"outputs": F.array_join("outputs", ", "), "timed": F.col("elapsed_seconds") > 0}
     ).drop("elapsed_seconds")

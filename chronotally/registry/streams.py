@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotally import operators as op
@@ -12,12 +12,13 @@ from chronotally.registry.base import query
 from chronotally.registry.batch import HOURS_SQL
 from chronotally.registry.tables import EVENT_SUMS, EVENTS_SQL, event_instants
 from chronotally.session import run_folder
-from chronotally.sources import read_output, table_status, watch_folder
+from chronotally.sources import read_output, schema_of, table_status, taken_files, watch_folder
 from chronotally.streaming import (
-    Reports,
+    ProgressLog,
     chunk_keys,
     deliver,
     finish,
+    open_windows,
     progress_frame,
     replay_windows,
     run_totals,
@@ -42,7 +43,7 @@ class Run:
     watched: str
     output: str
     checkpoint: str
-    reports: Reports | None
+    log: ProgressLog | None
 
 
 def _folders(spark: SparkSession, label: str) -> Run:
@@ -50,10 +51,12 @@ def _folders(spark: SparkSession, label: str) -> Run:
     return Run(f"{root}/replay", f"{root}/arrived", f"{root}/windows", f"{root}/checkpoint", None)
 
 
-def _replay(spark: SparkSession, records: DataFrame, label: str, arrival: str | None = None) -> Run:
+def _replay(
+    spark: SparkSession, records: DataFrame, label: str, arrival: str | None = None, **options
+) -> Run:
     run = _folders(spark, label)
     write_replay(records, "ts", run.replay, "week", arrival=arrival)
-    run.reports = replay_windows(
+    run.log = replay_windows(
         spark,
         run.replay,
         run.watched,
@@ -62,6 +65,7 @@ def _replay(spark: SparkSession, records: DataFrame, label: str, arrival: str |
         records.schema,
         "ts",
         EVENT_SUMS,
+        **options,
     )
     return run
 
@@ -97,8 +101,8 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     """Rows taken in and windows written per arrival; batches without input only move the watermark."""
     run = _replay(spark, event_instants(spark, folder), "progress")
     return (
-        progress_frame(spark, run.reports)
-        .groupBy("run")
+        progress_frame(run.log)
+        .groupBy(F.col("arrival").alias("run"))
         .agg(
             F.sum("input_rows").alias("input_rows"),
             F.coalesce(F.sum("windows_out"), F.lit(0)).alias("windows_out"),
@@ -115,7 +119,7 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
 def stream_run_totals(spark: SparkSession, folder: str) -> DataFrame:
     """The whole run in one row; how many batches and files it took depends on the cluster."""
     run = _replay(spark, event_instants(spark, folder), "totals")
-    totals = run_totals(spark, run.reports, run.watched)
+    totals = run_totals(run.log, taken_files(spark, run.checkpoint))
     return totals.select(
         "input_rows", "windows_out", (F.col("seconds") > 0).alias("timed"),
         (F.col("files_in") >= 5).alias("all_files_in"),
@@ -123,8 +127,50 @@ def stream_run_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "stream_late_rows",
-    f"""with {EVENTS_SQL},
+    "stream_files_taken",
+    """with weeks as (select distinct cast(date_trunc('week', ts) as date) as chunk_key from events)
+    select 'archived' as side, chunk_key from weeks union all select 'left', chunk_key from weeks""",
+)
+def stream_files_taken(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunks whose files were taken in, by the source's own log, whether or not files are archived."""
+    records, archive = event_instants(spark, folder), run_folder(spark, "archive")
+    runs = {
+        "archived": _replay(spark, records, "taken-archived", archive=archive),
+        "left": _replay(spark, records, "taken-left"),
+    }
+    key = F.to_date(F.regexp_extract("path", r"/arrived/(\d{4}-\d{2}-\d{2})/", 1))
+    sides = [
+        taken_files(spark, run.checkpoint).select(F.lit(side).alias("side"), key.alias("chunk_key")).distinct()
+        for side, run in runs.items()
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+@query(
+    "stream_open_windows",
+    f"""with {_DONE_SQL} select window_start, window_end, crashes as records from hours
+    where window_start not in (select window_start from done)""",
+)
+def stream_open_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """The windows still in the state at the end: those of the batch that were not written."""
+    run = _replay(spark, event_instants(spark, folder), "open")
+    return open_windows(spark, run.checkpoint).drop("partition")
+
+
+@query("stream_borrowed_schema", f"with {_DONE_SQL} select * from done")
+def stream_borrowed_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """The watched folder is empty when the stream is made: its schema is that of the stored table."""
+    run = _folders(spark, "borrowed")
+    event_instants(spark, folder).write.parquet(run.replay)
+    run.log = replay_windows(
+        spark, f"{run.replay}-none", run.watched, run.output, run.checkpoint, schema_of(spark, run.replay), "ts", EVENT_SUMS
+    )
+    spark.read.parquet(run.replay).write.parquet(f"{run.watched}/all")
+    _run_arrived(spark, run, schema_of(spark, run.replay))
+    return read_output(spark, run.output)
+
+
+_JUDGED_SQL = f"""{EVENTS_SQL},
     arrived as (
       select *, date_trunc('week', case when event_type = 'error' then ts + interval '7 days'
         else ts end) as chunk, time_bucket(interval '1 hour', ts) as window_start
@@ -139,7 +185,33 @@ def stream_run_totals(spark: SparkSession, folder: str) -> DataFrame:
     judged as (
       select a.*, coalesce(window_start + interval '1 hour' > mark, true) as in_time
       from arrived a join marks using (chunk)
-    )
+    )"""
+
+
+def _arrival() -> Column:
+    """Errors are reported a week late, when most of their windows are closed."""
+    week = F.expr("INTERVAL '7' DAY")
+    return F.when(F.col("event_type") == "error", F.col("ts") + week).otherwise(F.col("ts"))
+
+
+@query(
+    "stream_late_counts",
+    f"""with {_JUDGED_SQL}
+    select cast(row_number() over (order by chunk) - 1 as integer) as arrival, count(*) as input_rows,
+      count(*) filter (not in_time) as late_rows
+    from judged group by chunk""",
+)
+def stream_late_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Late rows of each arrival, counted while the stream runs."""
+    records = event_instants(spark, folder).withColumn("arrival", _arrival())
+    run = _replay(spark, records, "late-counts", arrival="arrival", count_late=True)
+    counts = [F.sum(c).alias(c) for c in ("input_rows", "late_rows")]
+    return progress_frame(run.log).groupBy("arrival").agg(*counts)
+
+
+@query(
+    "stream_late_rows",
+    f"""with {_JUDGED_SQL}
     select window_start, count(*) as records, count(*) filter (in_time) as counted,
       count(*) filter (not in_time) as late
     from judged
@@ -147,12 +219,9 @@ def stream_run_totals(spark: SparkSession, folder: str) -> DataFrame:
     group by 1""",
 )
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Errors are reported a week late, when most of their windows are closed."""
+    """Records by window, those that came in time and those that were late."""
     records = event_instants(spark, folder)
-    arrival = F.when(
-        F.col("event_type") == "error", F.col("ts") + F.expr("INTERVAL '7' DAY")
-    ).otherwise(F.col("ts"))
-    run = _replay(spark, records.withColumn("arrival", arrival), "late", arrival="arrival")
+    run = _replay(spark, records.withColumn("arrival", _arrival()), "late", arrival="arrival")
     written = read_output(spark, run.output).select("window_start", F.col("crashes").alias("counted"))
     # The windows that are closed at the end, those without a single record in time as well.
     newest = records.agg(F.max("ts").alias("newest"))

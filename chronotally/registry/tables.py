@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,6 +167,31 @@ def raw_csv(spark: SparkSession, folder: str, label: str, notes: bool = False) -
     return write_csv(rows if notes else rows.drop("note"), label)
 
 
+# Rows of the ragged file that lack their last field or have one too many.
+SHORT_SQL, LONG_SQL = "o_orderkey % 7 = 3", "o_orderkey % 11 = 5"
+
+
+def ragged_csv(spark: SparkSession, folder: str, label: str) -> str:
+    """Raw orders as CSV in which some rows have another number of fields than the header."""
+    columns = list(ORDER_RECORDS.columns)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    key = F.col("record_id").cast("bigint")
+    line = (
+        F.when(key % 7 == 3, F.concat_ws(",", *fields[:-1]))
+        .when(key % 11 == 5, F.concat_ws(",", *fields, F.lit("one more")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+
+    def with_header(batches):
+        yield pa.RecordBatch.from_pydict({"value": [",".join(columns)]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, names=["value"])
+
+    path = run_folder(spark, label)
+    raw_orders(spark, folder).select(line.alias("value")).mapInArrow(with_header, "value string").write.text(path)
+    return path
+
+
 # --- line items: the largest table. ---------------------------------------------------------
 
 

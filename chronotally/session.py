@@ -88,6 +88,29 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(hadoop_path)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, hadoop_path = _file_system(spark, path)
+    system.mkdirs(hadoop_path)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, seen by readers of its folder once it is whole."""
+    system, to = _file_system(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(to.getParent(), f"_{to.getName()}")
+    out = system.create(hidden, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if not system.rename(hidden, to):
+        raise OSError(f"could not write {path}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, hadoop_path = _file_system(spark, path)
+    system.delete(hadoop_path, True)
+
+
 def moved(spark: SparkSession, source: str, target: str) -> bool:
     """Rename a folder; False if the target is there. One step on file systems that have it."""
     system, to = _file_system(spark, target)

@@ -55,6 +55,7 @@ def read_bronze(
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     multi_line: bool | None = True,
+    ragged: str | None = None,
 ) -> DataFrame:
     """Scan CSV with a header row, doubled-quote escapes and line breaks inside quotes.
 
@@ -63,10 +64,17 @@ def read_bronze(
     lines; ``None`` looks at the text first, a further pass over it, and takes the scan in splits
     where it gives the same rows. ``columns`` names the columns that every file has, in order, and
     saves the job that reads the header; a file with other names in its header fails the scan.
+    ``ragged`` names one more column, which holds the text of rows with fewer or more fields than there
+    are columns and is NULL for all others; it needs ``columns``.
     """
     reader = spark.read.options(**_FORMAT)
+    if ragged is not None:
+        if columns is None:
+            raise ValueError("ragged rows are only known where columns are given")
+        reader = reader.option("columnNameOfCorruptRecord", ragged)
     if columns is not None:
-        named = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        names = [*columns, ragged] if ragged is not None else columns
+        named = T.StructType([T.StructField(c, T.StringType()) for c in names])
         reader = reader.schema(named).option("enforceSchema", False)
     if multi_line is None:
         multi_line = not lines_are_records(spark, path)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronotally.session import path_exists
 from chronotally.sources.files import data_files, has_files
 
+_TAKEN = "path string, timestamp bigint, batchId bigint"
+
 
 def read_cleaned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Cleaned records; ``year`` and ``month`` come back from the directory names as int."""
@@ -46,6 +50,24 @@ def watch_folder(
     return reader.parquet(path)
 
 
+def taken_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``path, arrival, modified`` of every file a stream has taken in, by the log of its source in the
+    checkpoint: whole since the first batch, and no different once files are archived or deleted. Files
+    with one number of ``arrival`` were taken in by one batch."""
+    log = f"{checkpoint}/sources/0"
+    if not path_exists(spark, log):
+        return spark.createDataFrame([], "path string, arrival bigint, modified timestamp")
+    entry = F.from_json("value", _TAKEN).alias("e")
+    # A compacted log repeats the entries of the logs before it.
+    return (
+        spark.read.text(log)
+        .filter(F.col("value").startswith("{"))
+        .select(entry)
+        .select("e.path", F.col("e.batchId").alias("arrival"), F.timestamp_millis("e.timestamp").alias("modified"))
+        .distinct()
+    )
+
+
 def read_output(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of a stored output, also one written by a stream.
 

@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 
 from chronotally import operators as op
 from chronotally.session import settings
-from chronotally.sources import read_output, schema_of, watch_folder
+from chronotally.sources import read_output, schema_of, taken_files, watch_folder
 from chronotally.spec import CRASH_RECORDS, CRASH_ROLLUPS
 from chronotally.streaming import (
-    Reports,
+    ProgressLog,
+    check_restart,
     chunk_keys,
     deliver,
     finish,
+    open_windows,
     progress_frame,
     replay_windows,
     run_totals,
+    settle,
     start_windows,
+    state_partitions,
     time_to_first_window,
     windowed,
     write_replay,
@@ -68,11 +72,12 @@ def windows_of(df):
 
 def run_once(spark, at, max_files=None, **options):
     stream = watch_folder(spark, at.watched, SCHEMA, max_files)
-    options = {"trigger": None, **options}
+    log = ProgressLog(spark)
+    options = {"trigger": None, "log": log, **options}
     query = start_windows(windowed(stream, "CRASH_DATE", SUMS), at.output, at.checkpoint, **options)
-    reports = Reports()
-    finish(query, 120, reports)
-    return reports.all()
+    finish(query, 120)
+    log.done(query)
+    return progress_frame(log).orderBy("batch_id").collect()
 
 
 def replay(spark, at, **options):
@@ -146,15 +151,20 @@ def test_a_live_stream_takes_each_chunk_in_one_batch(spark, crashes, at):
         write_replay(crashes.repartition(4), "CRASH_DATE", at.replay, "day")
     os.makedirs(at.watched)
     windows = windowed(watch_folder(spark, at.watched, SCHEMA), "CRASH_DATE", SUMS)
-    query, reports = start_windows(windows, at.output, at.checkpoint, trigger="1 second"), Reports()
+    log = ProgressLog(spark, every_seconds=0.1, per_file=3)
+    query = start_windows(windows, at.output, at.checkpoint, trigger="1 second", log=log)
     try:
         for key in chunk_keys(spark, at.replay):
             deliver(spark, at.replay, at.watched, key)
-            query.processAllAvailable()
-            reports.take(query)
+            settle(query, 60)
+        while progress_frame(log).agg(F.sum("input_rows")).first()[0] != 240:  # known while it runs
+            time.sleep(0.1)
     finally:
         query.stop()
-    assert [r["numInputRows"] for r in reports.all() if r["numInputRows"]] == [48] * 5
+        log.done(query)
+    batches = progress_frame(log).orderBy("batch_id").collect()
+    assert [b.input_rows for b in batches if b.input_rows] == [48] * 5
+    assert [b.arrival for b in batches if b.input_rows] == list(range(5))
     assert len(windows_of(read_output(spark, at.output))) == 5 * 24 - 2
 
 
@@ -162,15 +172,73 @@ def test_all_batches_are_reported(spark, crashes, at):
     start = time.time() - 10_000
     for i in range(8):
         one_file(crashes.filter(F.crc32("CRASH_RECORD_ID") % 8 == i), at.watched, f"{i}.parquet", start + i)
-    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "4"}):
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
         progress = run_once(spark, at, max_files=1)
-    assert len(progress) >= 8 and sum(r["numInputRows"] for r in progress) == crashes.count()
+    assert len(progress) >= 8 and sum(r.input_rows for r in progress) == crashes.count()
+    assert [r.batch_id for r in progress] == list(range(len(progress)))
 
 
 def test_taken_files_may_be_archived(spark, crashes, at, tmp_path):
     write_replay(crashes, "CRASH_DATE", at.replay, "day")
-    replay(spark, at, archive=str(tmp_path / "archive"))
+    log = replay(spark, at, archive=str(tmp_path / "archive"))
     assert len(windows_of(read_output(spark, at.output))) == 5 * 24 - 2
+    assert glob.glob(f"{tmp_path}/archive/**/*.parquet", recursive=True)
+    taken = taken_files(spark, at.checkpoint)
+    assert run_totals(log, taken).first().files_in == taken.count() == 5
+    assert {r.arrival for r in taken.collect()} == {b.arrival for b in progress_frame(log).collect()}
+
+
+def test_files_taken_survive_a_compacted_log(spark, crashes, at):
+    start = time.time() - 10_000
+    for i in range(7):
+        one_file(crashes.filter(F.crc32("CRASH_RECORD_ID") % 7 == i), at.watched, f"{i}.parquet", start + i)
+    with settings(spark, {"spark.sql.streaming.fileSource.log.compactInterval": "3"}):
+        run_once(spark, at, max_files=1)
+    assert glob.glob(f"{at.checkpoint}/sources/0/*.compact")
+    names = sorted(os.path.basename(r.path) for r in taken_files(spark, at.checkpoint).collect())
+    assert names == [f"{i}.parquet" for i in range(7)]
+    assert taken_files(spark, at.checkpoint + "-none").count() == 0
+
+
+def test_open_windows_are_those_not_written(spark, crashes, at):
+    assert open_windows(spark, at.checkpoint).count() == 0 and state_partitions(spark, at.checkpoint) is None
+    write_replay(crashes, "CRASH_DATE", at.replay, "day")
+    replay(spark, at, state_partitions=3)
+    written = windows_of(read_output(spark, at.output))
+    batch = windows_of(op.tumbling_windows(crashes, "CRASH_DATE", SUMS))
+    still = {r.window_start: r.records for r in open_windows(spark, at.checkpoint).collect()}
+    assert still == {t: v[0] for t, v in batch.items() if t not in written}
+    assert state_partitions(spark, at.checkpoint) == 3
+
+
+def test_a_restart_that_does_not_fit_is_refused(spark, crashes, at):
+    write_replay(crashes, "CRASH_DATE", at.replay, "day")
+    replay(spark, at, state_partitions=3)
+    with pytest.raises(ValueError, match="3 state partitions, not 2"):
+        replay(spark, at, state_partitions=2)
+    with pytest.raises(ValueError, match="3600 s"):
+        replay(spark, at, size="30 minutes")
+    check_restart(spark, at.checkpoint, 3, "60 minutes")
+    replay(spark, at, state_partitions=3)
+
+
+def test_late_rows_are_counted_as_they_come(spark, at):
+    """The second chunk is a repeat of the first: all of its closed windows' rows are late."""
+    rows = days_of_crashes(days=2)
+    frames = [clean_frame(spark, rows), clean_frame(spark, [*rows, (None, 1, 1, "x")])]
+    for key, frame in zip(("2022-01-01", "2022-01-02"), frames):
+        frame.write.parquet(f"{at.replay}/chunk_key={key}")
+    log = replay(spark, at, count_late=True)
+    batches = {b.arrival: b for b in progress_frame(log).collect() if b.input_rows}
+    newest = max(t for t, *_ in rows)
+    late = sum(t.replace(minute=0) + HOUR <= newest - HOUR for t, *_ in rows)
+    assert [batches[i].late_rows for i in (0, 1)] == [0, late]
+    assert batches[1].input_rows == len(rows) + 1
+
+
+def test_late_rows_are_not_known_unless_observed(spark, crashes, at):
+    crashes.write.parquet(at.watched)
+    assert {b.late_rows for b in run_once(spark, at)} == {None}
 
 
 def test_delivery_is_resumed(spark, crashes, at):
@@ -199,12 +267,12 @@ def test_stream_equals_batch_but_for_the_open_windows(spark, crashes, at):
     statuses = op.reconcile_windows(batch, written, ["crashes", *SUMS]).groupBy("status").count()
     assert dict(map(tuple, statuses.collect())) == {"match": len(done), "missing_in_stream": 2}
 
-    batches = progress_frame(spark, reports).collect()
+    batches = progress_frame(reports).orderBy("batch_id").collect()
     assert [b.input_rows for b in batches if b.input_rows] == [48] * 5
     assert sum(b.windows_out for b in batches) == len(done)
     assert batches[-1].state_rows == 2 and sum(b.rows_dropped for b in batches) == 0
-    assert time_to_first_window(reports) > 0 and time_to_first_window(Reports()) is None
-    totals = run_totals(spark, reports, at.watched).first()
+    assert time_to_first_window(reports) > 0 and time_to_first_window(ProgressLog(spark)) is None
+    totals = run_totals(reports, taken_files(spark, at.checkpoint)).first()
     assert (totals.input_rows, totals.windows_out, totals.files_in) == (240, len(done), 5)
     assert totals.batches == len(batches) and totals.seconds > 0
 
@@ -290,7 +358,7 @@ def test_a_delay_as_long_as_the_chunk_loses_nothing(spark, at):
 def test_other_files_in_the_folder_are_left_alone(spark, crashes, at):
     one_file(crashes, at.watched, "a.parquet", time.time())
     one_file(crashes, at.watched, "b.parquet.tmp", time.time())
-    assert sum(p["numInputRows"] for p in run_once(spark, at)) == crashes.count()
+    assert sum(p.input_rows for p in run_once(spark, at)) == crashes.count()
 
 
 def test_stray_output_file_is_not_read(spark, crashes, at):
@@ -312,7 +380,7 @@ def test_restart_from_the_checkpoint(spark, crashes, at):
     first = windows_of(read_output(spark, at.output))
     for key in keys[2:]:
         deliver(spark, at.replay, at.watched, key)
-    assert sum(p["numInputRows"] for p in run_once(spark, at)) == 3 * 48  # only what is new
+    assert sum(p.input_rows for p in run_once(spark, at)) == 3 * 48  # only what is new
     both = windows_of(read_output(spark, at.output))
     assert first.items() < both.items() and len(both) == 5 * 24 - 2
 
