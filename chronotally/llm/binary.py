@@ -113,7 +113,7 @@ def write_ids(
         for batch in batches:
             id_type = batch.schema.field(doc_id).type
             for some in slices(batch, text):
-                for name, ids in zip(some.column(doc_id).to_pylist(), encode(some.column(text).to_pylist())):
+                for name, ids in zip(some.column(doc_id).to_pylist(), encode(some.column(text))):
                     ids = np.concatenate((ids, end))
                     if waiting and waiting + len(ids) > block:
                         yield full()

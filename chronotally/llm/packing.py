@@ -154,7 +154,7 @@ def pack(
         for batch in batches:
             id_type = batch.schema.field(doc_id).type
             for some in slices(batch, text):
-                for name, ids in zip(some.column(doc_id).to_pylist(), encode(some.column(text).to_pylist())):
+                for name, ids in zip(some.column(doc_id).to_pylist(), encode(some.column(text))):
                     if waiting and waiting + len(ids) >= STRETCH:
                         yield packed()
                         names, found, waiting = [], [], 0

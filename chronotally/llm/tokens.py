@@ -16,6 +16,10 @@ from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from chronotally.llm.part_table import PartTable
+from chronotally.llm.words import text_bytes
 
 _SIDE_BY_SIDE = re.compile(r" \s|\s ")
 _RUNS = re.compile(r"\s*\S+|\s+")
@@ -56,14 +60,13 @@ class Memo:
 
 
 class Library:
-    """A tokenizer file of the library. Strings of special tokens in a text are ordinary text."""
+    """A tokenizer file of the library, used as it comes: strings of special tokens are those tokens."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         #: Bytes of each token; a byte is one character of its name.
         self.sizes = np.array([*map(len, names)], np.int64)
@@ -103,12 +106,12 @@ def library(path: str) -> Library:
 
 
 @lru_cache(2)  # a Python worker goes on with what it knows in its next task
-def id_encoder(path: str, **options) -> Callable[[list[str | None]], list[np.ndarray]]:
-    """A function from texts (null: empty) to their ids, as unsigned 32-bit arrays."""
-    memo = Memo(library(path).encode_parts, **options)
+def id_encoder(path: str, **options) -> Callable[[pa.Array], list[np.ndarray]]:
+    """A function from a column of texts (null: empty) to their ids, as unsigned 32-bit arrays."""
+    table = PartTable(library(path).encode_parts, **options)
 
-    def ids(texts: list[str | None]) -> list[np.ndarray]:
-        joined = memo.take([parts(text or "") for text in texts])
-        return [np.frombuffer(b"".join(one), "<u4") for one in joined]
+    def ids(texts: pa.Array) -> list[np.ndarray]:
+        found, ends = table.ids(*text_bytes(texts))
+        return np.split(found, ends[:-1]) if len(texts) else []
 
     return ids

@@ -214,11 +214,32 @@ def test_decoder_replaces_what_is_no_utf8():
 
 def test_library_ids_by_parts_are_those_of_whole_texts():
     own = Tokenizer.from_file(JSON)
-    own.encode_special_tokens = True
-    texts = ODD + random_texts(200)
+    spaces = "".join(map(chr, [9, 11, 13, 28, 31, 32, 133, 160, 5760, 8192, 8202, 8232, 8239, 8287, 12288, 233, 8218, 97, 46]))
+    draw = random.Random(8)
+    texts = ODD + random_texts(300) + ["".join(draw.choices(spaces + "  ab", k=draw.randrange(30))) for _ in range(400)]
+    texts += ["a <|endoftext|> b", "x<|endoftext|>y  <|endoftext|>", "<|endoftext|>", " <|endof text|>", "é" * 11 + " " + "é" * 12]
+    texts += ["x" * k + " " + "y" * k for k in range(20, 28)] + ["\0", "\0\0 \0", "z" * 1_000_000]
     encode = tokens.id_encoder(JSON)
-    for text, ids in zip(texts, encode(texts)):
-        assert ids.tolist() == own.encode(text or "", add_special_tokens=False).ids
+    for some in (texts, texts[::-1], texts[:1], []):
+        for text, ids in zip(some, encode(pa.array(some, pa.string())), strict=True):
+            assert ids.tolist() == own.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("most", [1, 50])
+def test_a_full_table_changes_nothing(most):
+    own, encode = Tokenizer.from_file(JSON), tokens.id_encoder(JSON, most=most)
+    for at in range(0, 300, 20):
+        texts = random_texts(300)[at : at + 20]
+        for text, ids in zip(texts, encode(pa.array(texts))):
+            assert ids.tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_bytes_that_are_no_text():
+    column = pa.array([b"a\xff b", b"\xc2 x", b"ok"]).cast(pa.binary())
+    column = pa.Array.from_buffers(pa.string(), 3, column.buffers())
+    own = Tokenizer.from_file(JSON)
+    want = [own.encode(t, add_special_tokens=False).ids for t in ("a\ufffd b", "\ufffd x", "ok")]
+    assert [x.tolist() for x in tokens.id_encoder(JSON)(column)] == want
 
 
 def test_a_full_memory_changes_nothing():
