@@ -40,6 +40,8 @@ from chronotally.llm.tables import stored
 
 FILE_BYTES = 1 << 28
 _GAP, _READ = 1 << 12, 1 << 22
+#: Bytes of archives that one task reads, about.
+_TASK = 1 << 26
 #: Fixed values of the format.
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = b"\r\n\r\n"
@@ -230,7 +232,11 @@ def read_records(places: DataFrame, folder: str, with_payload: bool = True) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                 at = to
 
-    dealt = places.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # Places are small and what they point to is not, so tasks are counted by the latter.
+    places = places.select("file", "offset", "length")
+    total = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(total // _TASK + 1, int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, kind + ", payload binary" * with_payload)
 
 
