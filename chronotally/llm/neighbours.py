@@ -178,23 +178,39 @@ def nearest(
                 v = _matrix(batch.column("v"))
                 pairs = list(lists.assign(v / np.linalg.norm(v, axis=1, keepdims=True), replicas, slack))
                 take, of = (pa.array(x, pa.int32()) for x in zip(*pairs))
-                yield pa.RecordBatch.from_arrays([*batch.take(take).columns, of], names=[*batch.schema.names, "list"])
+                # The first of a vector's lists, which all of its others come after.
+                first = pa.array([i == 0 or pairs[i - 1][0] != at for i, (at, _) in enumerate(pairs)])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.take(take).columns, of, first], names=[*batch.schema.names, "list", "first"]
+                )
 
     def to_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
                 v = _matrix(batch.column("v"))
                 unit = v / np.linalg.norm(v, axis=1, keepdims=True)
-                pairs = [(i, c) for i, u in enumerate(unit) for c in lists.search(u, most_lists, ratio)]
+                pairs = [(i, c) for i, u in enumerate(unit) for c in enough(u, lists.search(u, most_lists, ratio))]
                 take, of = (pa.array(x, pa.int32()) for x in zip(*pairs))
                 yield pa.RecordBatch.from_arrays([*batch.take(take).columns, of], names=[*batch.schema.names, "list"])
 
+    def enough(unit: np.ndarray, picked: list[int]) -> list[int]:
+        """The lists picked and, if they are too few vectors, the next nearest until ``k + 1`` are held."""
+        vectors = sum(held.get(c, 0) for c in picked)
+        if vectors <= k:
+            for c in np.argsort(-(lists.centroids @ unit), kind="stable").tolist():
+                if vectors <= k and c not in picked:
+                    picked.append(c)
+                    vectors += held.get(c, 0)
+        return picked
+
     posted = stored(
-        entries.mapInArrow(to_lists, "a bigint, b bigint, v array<double>, ids array<bigint>, list int"),
+        entries.mapInArrow(to_lists, "a bigint, b bigint, v array<double>, ids array<bigint>, list int, first boolean"),
         "neighbour-lists",
     )
-    # At most 4,096 numbers, as there are no more lists.
-    sizes = {r.list: -(-r.n // chunk) for r in posted.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    # At most 4,096 numbers of each, as there are no more lists.
+    counted = posted.groupBy("list").agg(F.count("*").alias("n"), F.count_if("first").alias("held")).collect()
+    sizes, held = {r.list: -(-r.n // chunk) for r in counted}, {r.list: r.held for r in counted}
+    posted = posted.drop("first")
     chunks = F.element_at(F.array(*[F.lit(sizes.get(c, 0)) for c in range(len(lists.centroids))]), F.col("list") + 1)
     posted = posted.withColumn("chunk", F.pmod("a", chunks))
     routed = (

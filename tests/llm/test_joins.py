@@ -247,6 +247,18 @@ def test_nearest_of_few_vectors(spark):
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in near], abs=1e-12)
 
 
+def test_as_many_rows_as_asked_from_small_clusters(spark):
+    """The lists near a query hold fewer vectors than asked for: others are searched as well."""
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(8, 16)) * 10
+    rows = [(i, (centres[i % 8] + draw.normal(size=16) * 1e-3).tolist()) for i in range(40)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    per_query = neighbours.nearest(table, F.col("vec_id") % 4 == 0).groupBy("query_id").count().collect()
+    assert sorted(tuple(r) for r in per_query) == [(i, 5) for i in range(0, 40, 4)]
+    few = neighbours.nearest(table.filter("vec_id < 4"), F.col("vec_id") == 0).collect()
+    assert sorted(r.vec_id for r in few) == [1, 2, 3]
+
+
 def test_nearest_of_one_and_of_none(spark):
     table = spark.createDataFrame([(10, [1.0, 2.0])], "vec_id bigint, embedding array<float>")
     assert neighbours.nearest(table, F.col("vec_id") % 10 == 0).count() == 0
