@@ -9,13 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.operators.rollups import first_rows
-from chronotally.spec import CRASH_ROLLUPS
 
-
-# Label, aggregate that counts the bad rows, name of that count.
-Check = tuple[str, Column, str]
-
-MEASURES = tuple(CRASH_ROLLUPS.window_sums)
+# Label, and the aggregate that counts the bad rows.
+Check = tuple[str, Column]
 
 
 def columns_required(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -28,15 +24,15 @@ def columns_required(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def _report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check, all counted in one pass."""
-    counted = df.agg(*[bad.alias(f"bad_{i}") for i, (_, bad, _) in enumerate(checks)])
+    counted = df.agg(F.count("*").alias("rows"), *[bad.alias(f"bad_{i}") for i, (_, bad) in enumerate(checks)])
     rows = [
         F.struct(
             F.lit(label).alias("check"),
             (F.col(f"bad_{i}") == 0).alias("passed"),
             F.col(f"bad_{i}").alias("n_bad"),
-            F.concat(F.lit(f"{what}="), F.col(f"bad_{i}")).alias("detail"),
+            F.concat(F.col(f"bad_{i}"), F.lit(" of "), F.col("rows"), F.lit(" rows")).alias("detail"),
         )
-        for i, (label, _, what) in enumerate(checks)
+        for i, (label, _) in enumerate(checks)
     ]
     return counted.select(F.inline(F.array(*rows)))
 
@@ -78,13 +74,13 @@ def failing_windows(windows: DataFrame, size_seconds: int = 3600, n: int = 5) ->
 
 def _alignment(windows: DataFrame, size_seconds: int) -> list[Check]:
     off = F.count_if(_off_grid(windows, size_seconds))
-    return [(f"window_start on the {size_seconds} s grid", off, "misaligned")]
+    return [(f"window_start on the {size_seconds} s grid", off)]
 
 
 def _duration(windows: DataFrame, size_seconds: int) -> list[Check]:
     length = _seconds(windows, "window_end") - _seconds(windows, "window_start")
     off = F.count_if(length != size_seconds)
-    return [(f"window length is {size_seconds} s", off, "bad_windows")]
+    return [(f"window length is {size_seconds} s", off)]
 
 
 def _sanity(measures: Sequence[str], count: str) -> list[Check]:
@@ -93,10 +89,10 @@ def _sanity(measures: Sequence[str], count: str) -> list[Check]:
         negative = negative | (F.col(name) < 0)
     empty = F.when(F.count("*") > 0, F.lit(0)).otherwise(1).cast("bigint")
     return [
-        ("output has rows", empty, "empty"),
-        ("no null window_start", F.count_if(F.col("window_start").isNull()), "nulls"),
-        ("no negative sums", F.count_if(negative), "bad"),
-        ("every window has a record", F.count_if(F.col(count) < 1), "bad"),
+        ("output has rows", empty),
+        ("no null window_start", F.count_if(F.col("window_start").isNull())),
+        ("no negative sums", F.count_if(negative)),
+        ("every window has a record", F.count_if(F.col(count) < 1)),
     ]
 
 
@@ -111,7 +107,7 @@ def window_duration_checks(windows: DataFrame, size_seconds: int = 3600) -> Data
 
 
 def window_sanity_checks(
-    windows: DataFrame, measures: Sequence[str] = MEASURES, count: str = "crashes"
+    windows: DataFrame, measures: Sequence[str] = (), count: str = "records"
 ) -> DataFrame:
     """Not empty, no window without a start, no negative sum, no window without a record."""
     return _report(windows, _sanity(measures, count))
@@ -119,8 +115,8 @@ def window_sanity_checks(
 
 def window_checks(
     windows: DataFrame,
-    measures: Sequence[str] = MEASURES,
-    count: str = "crashes",
+    measures: Sequence[str] = (),
+    count: str = "records",
     size_seconds: int = 3600,
 ) -> DataFrame:
     """All checks of a window table in one pass over it."""
@@ -136,7 +132,7 @@ def window_checks(
 
 def years_in_scope_check(df: DataFrame, first: int, last: int, year: str = "year") -> DataFrame:
     outside = F.count_if(~F.coalesce(F.col(year).between(first, last), F.lit(False)))
-    return _report(df, [(f"years within {first}-{last}", outside, "out_of_scope")])
+    return _report(df, [(f"years within {first}-{last}", outside)])
 
 
 def readback_check(df: DataFrame, rows_written: int) -> DataFrame:
@@ -151,7 +147,7 @@ def rows_read_check(counted: DataFrame, rows_written: int) -> DataFrame:
         F.lit("read-back row count equals rows written").alias("check"),
         (read == written).alias("passed"),
         F.abs(read - written).alias("n_bad"),
-        F.concat(F.lit("written="), written, F.lit(", read="), read).alias("detail"),
+        F.concat(read, F.lit(" of "), written, F.lit(" rows")).alias("detail"),
     )
 
 

@@ -32,7 +32,7 @@ def schema_parity(batch: DataFrame, stream: DataFrame) -> DataFrame:
     )
 
 
-def side_by_side(batch: DataFrame, stream: DataFrame, count: str = "crashes") -> DataFrame:
+def side_by_side(batch: DataFrame, stream: DataFrame, count: str = "records") -> DataFrame:
     """One row per side: windows, records in them, first and last window."""
 
     def totals(df: DataFrame, side: str) -> DataFrame:

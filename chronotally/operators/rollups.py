@@ -41,7 +41,7 @@ def tumbling_windows(
     event_time: str,
     measures: Mapping[str, str],
     size: str = "1 hour",
-    count: str = "crashes",
+    count: str = "records",
     ordered: bool = False,
     null_as_zero: bool = False,
 ) -> DataFrame:

@@ -178,7 +178,7 @@ def silver_write_readback(spark: SparkSession, folder: str) -> DataFrame:
     f"""with {RAW_SQL}
     select 'read-back row count equals rows written' as "check", true as passed,
       cast(0 as bigint) as n_bad,
-      'written=' || count(*) || ', read=' || count(*) as detail
+      count(*) || ' of ' || count(*) || ' rows' as detail
     from silver""",
 )
 def check_silver_readback(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,12 +233,12 @@ def silver_scan_pruned(spark: SparkSession, folder: str) -> DataFrame:
     "check_years_in_scope",
     f"""with {RAW_SQL}
     select 'years within 1996-1999' as "check", count(*) filter (not ok) = 0 as passed,
-      count(*) filter (not ok) as n_bad, 'out_of_scope=' || count(*) filter (not ok) as detail,
+      count(*) filter (not ok) as n_bad, count(*) filter (not ok) || ' of ' || count(*) || ' rows' as detail,
       'stored' as side
     from (select coalesce(year between 1996 and 1999, false) as ok from silver)
     union all
     select 'years within 1996-1999', count(*) filter (not ok) = 0, count(*) filter (not ok),
-      'out_of_scope=' || count(*) filter (not ok), 'unfiltered'
+      count(*) filter (not ok) || ' of ' || count(*) || ' rows', 'unfiltered'
     from (select coalesce(year between 1996 and 1999, false) as ok from dated)""",
 )
 def check_years_in_scope(spark: SparkSession, folder: str) -> DataFrame:

@@ -148,7 +148,7 @@ def stream_files_taken(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "stream_open_windows",
-    f"""with {_DONE_SQL} select window_start, window_end, crashes as records from hours
+    f"""with {_DONE_SQL} select window_start, window_end, records from hours
     where window_start not in (select window_start from done)""",
 )
 def stream_open_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,7 +222,7 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Records by window, those that came in time and those that were late."""
     records = event_instants(spark, folder)
     run = _replay(spark, records.withColumn("arrival", _arrival()), "late", arrival="arrival")
-    written = read_output(spark, run.output).select("window_start", F.col("crashes").alias("counted"))
+    written = read_output(spark, run.output).select("window_start", F.col("records").alias("counted"))
     # The windows that are closed at the end, those without a single record in time as well.
     newest = records.agg(F.max("ts").alias("newest"))
     counted = F.coalesce("counted", F.lit(0))
@@ -251,11 +251,11 @@ def _run_arrived(spark: SparkSession, run: Run, schema) -> None:
       where date_trunc('week', ts) in (select distinct date_trunc('week', ts) as w from events
         order by w limit 3)),
     second_leg as (select max(ts) - interval '1 hour' as mark from events)
-    select 1 as leg, count(*) as windows, cast(sum(crashes) as bigint) as records,
+    select 1 as leg, count(*) as windows, cast(sum(records) as bigint) as records,
       count(*) - count(distinct window_start) as repeated
     from hours where window_end <= (select mark from first_leg)
     union all
-    select 2, count(*), cast(sum(crashes) as bigint), count(*) - count(distinct window_start)
+    select 2, count(*), cast(sum(records) as bigint), count(*) - count(distinct window_start)
     from hours where window_end <= (select mark from second_leg)""",
 )
 def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
@@ -273,7 +273,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
         return read_output(spark, run.output).agg(
             F.lit(number).alias("leg"),
             F.count("*").alias("windows"),
-            F.sum("crashes").alias("records"),
+            F.sum("records").alias("records"),
             (F.count("*") - F.count_distinct("window_start")).alias("repeated"),
         )
 
@@ -284,7 +284,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     "stream_output_readback",
     f"""with {_DONE_SQL}
     select cast(window_start as date) as date, count(*) as windows,
-      cast(sum(crashes) as bigint) as records
+      cast(sum(records) as bigint) as records
     from done group by 1""",
 )
 def stream_output_readback(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,7 +294,7 @@ def stream_output_readback(spark: SparkSession, folder: str) -> DataFrame:
     return (
         read_output(spark, run.output)
         .groupBy(F.to_date("window_start").alias("date"))
-        .agg(F.count("*").alias("windows"), F.sum("crashes").alias("records"))
+        .agg(F.count("*").alias("windows"), F.sum("records").alias("records"))
     )
 
 
@@ -312,24 +312,24 @@ def _both_sides(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame
     f"""with {_DONE_SQL}
     select h.window_start, h.window_end,
       case when d.window_start is null then 'missing_in_stream' else 'match' end as status,
-      h.crashes as batch_crashes, h.k_total as batch_k_total,
+      h.records as batch_records, h.k_total as batch_k_total,
       h.error_k_total as batch_error_k_total,
-      d.crashes as stream_crashes, d.k_total as stream_k_total,
+      d.records as stream_records, d.k_total as stream_k_total,
       d.error_k_total as stream_error_k_total
     from hours h left join done d using (window_start)""",
 )
 def batch_stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     batch, stream = _both_sides(spark, folder, "reconcile")
-    return op.reconcile_windows(batch, stream, ["crashes", *EVENT_SUMS])
+    return op.reconcile_windows(batch, stream, ["records", *EVENT_SUMS])
 
 
 @query(
     "batch_stream_side_by_side",
     f"""with {_DONE_SQL}
-    select 'batch' as side, count(*) as windows, cast(sum(crashes) as bigint) as records,
+    select 'batch' as side, count(*) as windows, cast(sum(records) as bigint) as records,
       min(window_start) as first_window, max(window_start) as last_window from hours
     union all
-    select 'stream', count(*), cast(sum(crashes) as bigint), min(window_start), max(window_start)
+    select 'stream', count(*), cast(sum(records) as bigint), min(window_start), max(window_start)
     from done""",
 )
 def batch_stream_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,16 +349,16 @@ def reconcile_faults(spark: SparkSession, folder: str) -> DataFrame:
     batch, stream = _both_sides(spark, folder, "faults")
     turn = F.hour("window_start") % 4
     kept = stream.filter(turn != 1).withColumn(
-        "crashes", F.when(turn == 2, F.col("crashes") + 1).otherwise(F.col("crashes"))
+        "records", F.when(turn == 2, F.col("records") + 1).otherwise(F.col("records"))
     )
     faulty = kept.unionByName(stream.filter(turn == 0))
     done = batch.join(stream.select("window_start"), "window_start", "left_semi")
-    return op.reconcile_windows(done, faulty, ["crashes"]).select("window_start", "window_end", "status")
+    return op.reconcile_windows(done, faulty, ["records"]).select("window_start", "window_end", "status")
 
 
 @query(
     "schema_parity",
-    """select * from (values ('crashes', 'bigint', 'bigint', 'match'),
+    """select * from (values ('records', 'bigint', 'bigint', 'match'),
       ('k_total', 'bigint', 'int', 'type_differs'), ('error_k_total', 'bigint', null, 'batch_only'),
       ('arrived', null, 'date', 'stream_only'), ('window_start', 'timestamp', 'timestamp', 'match'),
       ('window_end', 'timestamp', 'timestamp', 'match')) t(column_name, batch_type, stream_type, status)""",
@@ -413,7 +413,7 @@ def output_status(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "stream_ignores_other_names",
-    f"with {_DONE_SQL} select count(*) as windows, cast(sum(crashes) as bigint) as records from done",
+    f"with {_DONE_SQL} select count(*) as windows, cast(sum(records) as bigint) as records from done",
 )
 def stream_ignores_other_names(spark: SparkSession, folder: str) -> DataFrame:
     """A copy of all records lies in the watched folder under names that do not match."""
@@ -423,7 +423,7 @@ def stream_ignores_other_names(spark: SparkSession, folder: str) -> DataFrame:
     records.write.json(f"{run.watched}/copy")
     _run_arrived(spark, run, records.schema)
     return read_output(spark, run.output).agg(
-        F.count("*").alias("windows"), F.sum("crashes").alias("records")
+        F.count("*").alias("windows"), F.sum("records").alias("records")
     )
 
 

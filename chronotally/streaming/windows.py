@@ -27,7 +27,7 @@ def windowed(
     measures: Mapping[str, str],
     size: str = "1 hour",
     watermark: str = "1 hour",
-    count: str = "crashes",
+    count: str = "records",
     count_late: bool = False,
 ) -> DataFrame:
     """The batch aggregation on a stream, with a bound on how late a record may come.
@@ -128,7 +128,7 @@ def replay_windows(
     measures: Mapping[str, str],
     size: str = "1 hour",
     watermark: str = "1 hour",
-    count: str = "crashes",
+    count: str = "records",
     keys: Sequence[date] | None = None,
     timeout_seconds: float | None = None,
     archive: str | None = None,

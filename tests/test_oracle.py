@@ -20,7 +20,7 @@ def test_query_agrees_with_its_sql(spark, con, name):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["crashes", "k_total", "error_k_total", "window_start", "window_end"]
+    assert df.columns == ["records", "k_total", "error_k_total", "window_start", "window_end"]
     assert not df.isEmpty()
 
 
