@@ -18,6 +18,8 @@ import numpy as np
 
 _SHORT = 23
 _REMEMBERED = 256
+# So many parts are looked up at once, however long a text is.
+_BLOCK = 1 << 16
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 # Odd multipliers; any would do.
 _SPREAD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -55,15 +57,15 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class PartTable:
     """Ids of parts by ``encode``, which gives those of a list of parts as little-endian 32-bit integers."""
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[bytes]], most: int = 1 << 21):
+    def __init__(self, encode: Callable[[list[str]], Sequence[bytes]], most: int = 1 << 20):
         self.encode, self.most = encode, most
-        self.bits = np.uint64(64 - max(4, (4 * most - 1).bit_length()))
+        self.bits = np.uint64(64 - max(4, (2 * most - 1).bit_length()))
         self.clear()
 
     def clear(self) -> None:
         self.slots = np.full(1 << int(64 - self.bits), -1, np.int32)
         self.keys = [np.zeros(1024, np.uint64) for _ in range(3)]
-        self.begins, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.begins, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
         self.pool, self.used, self.n = np.zeros(4096, np.uint32), 0, 0
         self.long: dict[bytes, int] = {}
 
@@ -139,7 +141,19 @@ class PartTable:
         if self.n > self.most or self.used > 16 * self.most:
             self.clear()
         starts = part_starts(data, offsets)
-        sizes = np.diff(np.append(starts, len(data)))
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        found, counts = [], np.zeros(len(starts) + 1, np.int64)
+        for at in range(0, len(starts), _BLOCK):
+            to = min(at + _BLOCK, len(starts))
+            base, end = int(starts[at]), int(ends[to - 1])
+            ids, n = self._block(data[base:end], starts[at:to] - base, ends[at:to] - starts[at:to])
+            found.append(ids)
+            counts[at + 1 : to + 1] = n
+        whole = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        return whole, np.cumsum(counts)[np.searchsorted(starts, offsets[1:])]
+
+    def _block(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts that stand side by side, and how many each has."""
         entry = np.zeros(len(starts), np.int64)
         short = sizes <= _SHORT
         if short.any():
@@ -147,9 +161,6 @@ class PartTable:
             entry[at] = self._short(data, starts[at], sizes[at])
         for i in np.flatnonzero(~short).tolist():
             entry[i] = self._long(data[starts[i] : starts[i] + sizes[i]].tobytes())
-        counts = self.counts[entry]
+        counts = self.counts[entry].astype(np.int64)
         ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.begins[entry] - (ends - counts), counts) + np.arange(total)]
-        per_text = np.concatenate(([0], ends))[np.searchsorted(starts, offsets[1:])]
-        return ids, per_text
+        return self.pool[np.repeat(self.begins[entry] - (ends - counts), counts) + np.arange(int(ends[-1]))], counts
