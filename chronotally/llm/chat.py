@@ -13,15 +13,23 @@ never ends is no single task's work. A null role or text is unlike an empty one
 renders as empty. Rows with a null ``conv_id`` are one conversation. Repeated rows are turns of
 their own. An empty table gives no rows. Other columns are left out, whatever their names.
 
-Rendering gives ``part`` 0, 1, ... of each conversation, ``turns_per_part`` turns each.
+Rendering gives ``part`` 0, 1, ... of each conversation, ``turns_per_part`` turns each. Markers are told
+from text that looks like them: ``<|`` in a text becomes ``<\\|`` and ``|>`` in a role ``|\\>``, and where
+such backslashes stand already there is one more. ``parsed`` restores the turns; a null role or text
+comes back empty.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronotally.llm.tables import stored
+
 RUN = 1024
+_TURN = r"(?s)<\|(.*?)\|>\n(.*?)<\|end\|>\n"
 _LOW = 0xFFFFFFFF
 _HASHES = ("h0", "h1", "h2", "h3")
 
@@ -94,12 +102,21 @@ def maximal(prefixed: DataFrame) -> DataFrame:
     return whole.join(shorter, keys, "left_anti").select("conv_id", F.col("position").alias("n_turns"), "n_copies")
 
 
+def _plain(value: Column, begin: str, end: str) -> Column:
+    """Text in which ``begin`` and ``end`` never stand side by side: a backslash is put between."""
+    return F.regexp_replace(F.coalesce(value, F.lit("")), rf"{re.escape(begin)}(\\*){re.escape(end)}", rf"{begin}\\$1{end}")
+
+
+def _restored(value: Column, begin: str, end: str) -> Column:
+    return F.regexp_replace(value, rf"{re.escape(begin)}\\(\\*){re.escape(end)}", f"{begin}$1{end}")
+
+
 def rendered(prefixed: DataFrame, kept: DataFrame, turns_per_part: int = 512) -> DataFrame:
     """``conv_id, part, n_turns, n_copies, text`` of the conversations that stay: each turn is
     ``<|role|>``, a line break, its text, ``<|end|>`` and a line break."""
     kept = kept.select(F.col("conv_id").alias("c"), "n_copies")
     turn = F.concat(
-        F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")), F.lit("<|end|>\n")
+        F.lit("<|"), _plain(F.col("role"), "|", ">"), F.lit("|>\n"), _plain(F.col("text"), "<", "|"), F.lit("<|end|>\n")
     )
     stay = prefixed.join(kept, F.col("conv_id").eqNullSafe(F.col("c")))
     pieces = stay.select(
@@ -114,7 +131,19 @@ def rendered(prefixed: DataFrame, kept: DataFrame, turns_per_part: int = 512) ->
     )
 
 
+def parsed(parts: DataFrame, turns_per_part: int = 512) -> DataFrame:
+    """``conv_id, position, role, text`` of rendered parts, the turns they were made of."""
+    found = F.arrays_zip(*[F.regexp_extract_all("text", F.lit(_TURN), F.lit(i)).alias(f"x{i}") for i in (1, 2)])
+    turns = parts.select("conv_id", "part", F.posexplode(found).alias("at", "turn"))
+    return turns.select(
+        "conv_id",
+        (F.col("part") * turns_per_part + F.col("at") + 1).alias("position"),
+        _restored(F.col("turn.x1"), "|", ">").alias("role"),
+        _restored(F.col("turn.x2"), "<", "|").alias("text"),
+    )
+
+
 def collapse(turns: DataFrame, turns_per_part: int = 512, **columns: str) -> DataFrame:
-    """Conversations that no longer one begins with, rendered."""
-    prefixed = prefixes(turns, **columns)
+    """Conversations that no longer one begins with, rendered. The prefixes are worked out once."""
+    prefixed = stored(prefixes(turns, **columns), "chat-prefixes")
     return rendered(prefixed, maximal(prefixed), turns_per_part)

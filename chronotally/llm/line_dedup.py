@@ -233,8 +233,13 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
         "removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>"))
     )
     whole_text = F.col("whole").getField(text)
-    lines = F.split(whole_text, "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("removed_lines", i))
+
+    def left(lines: Column) -> Column:
+        """The lines whose numbers stay, by a set of those that go: no line is held against all of these."""
+        numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+        return F.transform(F.array_except(numbers, "removed_lines"), lambda i: F.get(lines, i))
+
+    kept = F.transform(F.array(F.split(whole_text, "\n", -1)), left)[0]
     cut = F.when(F.size("removed_lines") == 0, whole_text).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[cut.alias(c) if c == text else F.col("whole").getField(c).alias(c) for c in docs.columns], "removed_lines"

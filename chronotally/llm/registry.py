@@ -86,8 +86,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op4_shuffled_shards")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in eight shards of equal counts, in a random order."""
-    placed = sharding.shuffled_shards(_table(spark, folder, "documents"))
-    return placed.select("doc_id", *sharding.COLUMNS)
+    return sharding.shuffled_shards(_table(spark, folder, "documents"), carry=["doc_id"])
 
 
 @_query("op5_chat_formatting", chat_sql.SQL)

@@ -4,19 +4,22 @@ Rows lie in blocks, by a hash. How many rows of each block go to each shard foll
 uniform shuffle would give: the counts are drawn from it, block by block, each a hypergeometric
 draw from what the shards still lack. Then each block is permuted on its own and dealt out by its
 counts, rows move once, and each shard is permuted again, bucket by bucket, which numbers its slots.
-No step sorts the whole table or holds a shard in one task.
+No step sorts the whole table or holds a shard in one task. Only numbers of rows go through all this;
+the rows themselves move once, to meet their places.
 
 Everything is DataFrame functions. Draws invert a uniform number, hashed from the seed, the block and
 the shard, over the weights of all outcomes within twelve standard deviations of the likeliest;
-what lies beyond is less than a double can tell from nothing. Blocks are grouped, about as many
-groups as blocks in a group, and the draws are made for the groups first and then in each group, so
-that no row holds more than about the square root of the number of blocks.
+what lies beyond is less than a double can tell from nothing. Blocks form a tree: the rows of a
+node go to the shards as drawn for it, and the next draws divide them among its ``group`` children, so that
+draws of one level are independent tasks and none holds more than a few nodes.
 
 Law ``rows``: the counts of the shards differ by one at most; the first ones have the extra row.
 
-Rows with equal ids and texts may stand for one another. A null text has no bytes and the checksum
+Rows with equal ids and texts may stand for one another, and the order is as random for them as for any: each
+has a number among its equals, by input partition and place there, and is hashed with it. Equal rows are counted
+within input partitions first, so that no task holds all of them. A null text has no bytes and the checksum
 of none; null ids are hashed as any value. An empty table gives no rows. Input columns named like a
-result are replaced, those named like a working column (``_block _key _at _deal _bucket _again _before``) left out.
+result are replaced; all others are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,10 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronotally.llm.tables import without
+from chronotally.llm.tables import stored, without
 
 COLUMNS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-_INSIDE = ("_block", "_key", "_at", "_deal", "_bucket", "_again", "_before")
 
 
 def _unit(*parts: Column | int) -> Column:
@@ -90,7 +92,7 @@ def hypergeometric(pool: Column, good: Column, draws: Column, unit: Column) -> C
     return F.when(low == high, low).otherwise(drawn).cast("bigint")
 
 
-def _deal(parts: Column, capacity: Column, shards: int, seed: int) -> Column:
+def _deal(parts: Column, capacity: Column, shards: int, seed: int, level: int) -> Column:
     """Counts for each part (``id``, ``n``) and shard, drawn part by part from ``capacity``."""
 
     def one(left: Column, part: Column) -> Column:
@@ -102,7 +104,7 @@ def _deal(parts: Column, capacity: Column, shards: int, seed: int) -> Column:
 
         def draw(acc: Column, j: Column) -> Column:
             good = F.element_at(left, (j + 1).cast("int"))
-            x = hypergeometric(acc["pool"], good, acc["need"], _unit(seed, part["id"], j))
+            x = hypergeometric(acc["pool"], good, acc["need"], _unit(seed, level, part["id"], j))
             return _let(
                 x,
                 lambda x: F.struct(
@@ -130,20 +132,42 @@ def _deal(parts: Column, capacity: Column, shards: int, seed: int) -> Column:
 
 
 def communication_matrix(counts: DataFrame, shards: int, seed: int, group: int) -> DataFrame:
-    """``block, counts`` (rows for each shard) from ``block, n``. ``group`` blocks share one row of
-    the first draw. Counts over all blocks differ by one at most between shards."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col("block").cast("bigint").alias("id"), "n")))
-    groups = counts.groupBy(F.floor(F.col("block") / group).alias("g")).agg(parts.alias("parts"), F.sum("n").alias("n"))
-    every = F.array_sort(F.collect_list(F.struct(F.col("g").alias("id"), "n")))
-    top = groups.groupBy().agg(every.alias("parts"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    """``block, counts`` (rows for each shard) from ``block, n``, blocks numbered from 0. ``group`` nodes of
+    the tree over the blocks share a parent. Counts over all blocks differ by one at most between shards."""
+
+    def level(i: int) -> DataFrame:
+        return counts.groupBy(F.floor(F.col("block") / group**i).cast("bigint").alias("id")).agg(F.sum("n").alias("n"))
+
+    last = counts.agg(F.max("block")).first()[0] or 0
+    levels = 1
+    while last // group**levels:
+        levels += 1
     sizes = F.transform(
         F.sequence(F.lit(0), F.lit(shards - 1)),
         lambda j: F.floor(F.col("n") / shards).cast("bigint") + (j < F.col("n") % shards).cast("bigint"),
     )
-    first = top.select(F.explode(_deal(F.col("parts"), sizes, shards, seed)).alias("d"))
-    inside = groups.join(first.select(F.col("d.id").alias("g"), F.col("d.counts").alias("capacity")), "g")
-    dealt = inside.select(F.explode(_deal(F.col("parts"), F.col("capacity"), shards, seed + 1)).alias("d"))
-    return dealt.select(F.col("d.id").alias("block"), F.col("d.counts").alias("counts"))
+    dealt = level(levels).select("id", sizes.alias("counts"))
+    for i in reversed(range(levels)):
+        children = level(i).groupBy(F.floor(F.col("id") / group).cast("bigint").alias("parent"))
+        parts = children.agg(F.array_sort(F.collect_list(F.struct("id", "n"))).alias("parts"))
+        above = dealt.select(F.col("id").alias("parent"), F.col("counts").alias("capacity"))
+        drawn = F.explode(_deal(F.col("parts"), F.col("capacity"), shards, seed, i))
+        dealt = parts.join(above, "parent").select(drawn.alias("d")).select("d.id", "d.counts")
+    return dealt.withColumnRenamed("id", "block")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``mark, key, copy``: the rows of a key are numbered from 1, over all input partitions."""
+    here = Window.partitionBy("key", "partition")
+    within = rows.select("mark", "key", "partition", F.row_number().over(here.orderBy("mark")).alias("at"))
+    upto = F.sum("n").over(Window.partitionBy("key").orderBy("partition").rowsBetween(Window.unboundedPreceding, -1))
+    before = (
+        rows.groupBy("key", "partition").agg(F.count("*").alias("n"))
+        .select("key", "partition", upto.alias("before")).filter("before > 0")
+    )
+    return within.join(before, ["key", "partition"], "left").select(
+        "mark", "key", (F.col("at") + F.coalesce("before", F.lit(0))).alias("copy")
+    )
 
 
 def shuffled_shards(
@@ -153,52 +177,61 @@ def shuffled_shards(
     rows_per_block: int = 4096,
     doc_id: str = "doc_id",
     text: str = "text",
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with ``size`` (UTF-8 bytes and one), ``text_crc32, law, shard, slot`` (gapless from
-    0 in each shard, a uniformly random order) and ``grown_shard`` (null under this law)."""
-    docs = without(docs, (*COLUMNS, *_INSIDE))
+    0 in each shard, a uniformly random order) and ``grown_shard`` (null under this law). ``carry`` names the
+    columns of ``docs`` to keep, all by default."""
+    columns = without(docs, COLUMNS).columns if carry is None else carry
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    rows = docs.withColumns({"size": (F.octet_length(raw) + 1).cast("bigint"), "text_crc32": F.crc32(raw)})
-    key = (F.col(doc_id), F.col("text_crc32"), F.col("size"))
-    blocks = max(1, -(-docs.count() // rows_per_block))
-    rows = rows.withColumns(
-        {
-            "_block": F.pmod(F.xxhash64(F.lit(seed + 2), *key), F.lit(blocks)),
-            "_key": F.xxhash64(F.lit(seed + 3), *key),
-            "_again": F.xxhash64(F.lit(seed + 4), *key),
-        }
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("whole"),
+        (F.octet_length(raw) + 1).cast("bigint").alias("size"),
+        F.crc32(raw).alias("text_crc32"),
+        F.xxhash64(F.col(doc_id), raw).alias("key"),
+        F.spark_partition_id().alias("partition"),
+        F.monotonically_increasing_id().alias("mark"),
+    )
+    # Written once, so that a row keeps its number whatever is lost later.
+    rows = stored(rows, "shard-rows")
+    blocks = max(1, -(-rows.count() // rows_per_block))
+    one = ("key", "copy")
+    hashed = _numbered(rows).select(
+        "mark",
+        *one,
+        F.pmod(F.xxhash64(F.lit(seed + 2), *one), F.lit(blocks)).alias("block"),
+        F.xxhash64(F.lit(seed + 3), *one).alias("first"),
+        F.xxhash64(F.lit(seed + 4), *one).alias("second"),
     )
-    counts = rows.groupBy(F.col("_block").alias("block")).agg(F.count("*").alias("n"))
-    matrix = communication_matrix(counts, shards, seed, max(1, int(blocks**0.5)))
+    hashed = stored(hashed, "shard-numbers")
+    counts = stored(hashed.groupBy("block").agg(F.count("*").alias("n")), "shard-blocks")
+    matrix = communication_matrix(counts, shards, seed, group=16)
     sums = F.aggregate(
         "counts",
         F.array().cast("array<bigint>"),
         lambda acc, x: F.concat(acc, F.array(x + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)))),
     )
-    deal = matrix.select(F.col("block").alias("_block"), sums.alias("_deal"))
+    deal = matrix.select("block", sums.alias("deal"))
 
-    permuted = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_block").orderBy("_key", *key)))
-    dealt = permuted.join(deal, "_block").withColumn(
-        "shard", F.size(F.filter("_deal", lambda upto: upto < F.col("_at"))).cast("int")
-    )
+    permuted = hashed.withColumn("at", F.row_number().over(Window.partitionBy("block").orderBy("first", *one)))
+    dealt = permuted.join(deal, "block").withColumn("shard", F.size(F.filter("deal", lambda upto: upto < F.col("at"))))
     buckets = max(1, -(-blocks // shards))
     # Any hash bucket is as likely as any other, so buckets one after the other are a random order.
-    dealt = dealt.withColumn("_bucket", F.pmod("_again", F.lit(buckets)))
+    dealt = dealt.withColumn("bucket", F.pmod("second", F.lit(buckets)))
     before = (
-        dealt.groupBy("shard", "_bucket")
+        dealt.groupBy("shard", "bucket")
         .agg(F.count("*").alias("n"))
         .withColumn(
-            "_before",
-            F.sum("n").over(Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+            "before",
+            F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
         )
-        .select("shard", "_bucket", F.coalesce("_before", F.lit(0)).alias("_before"))
+        .select("shard", "bucket", F.coalesce("before", F.lit(0)).alias("before"))
     )
-    number = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("_again", *key))
-    out = dealt.withColumn("_at", number).join(before, ["shard", "_bucket"])
-    results = {
-        "law": F.lit("rows"),
-        "slot": F.col("_before") + F.col("_at") - 1,
-        "grown_shard": F.lit(None).cast("int"),
-    }
-    out = out.withColumns(results)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *COLUMNS)
+    number = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("second", *one))
+    placed = dealt.withColumn("at", number).join(before, ["shard", "bucket"])
+    placed = placed.select("mark", "shard", (F.col("before") + F.col("at") - 1).alias("slot"))
+    return rows.join(placed, "mark").select(
+        *[F.col("whole").getField(c).alias(c) for c in columns],
+        "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

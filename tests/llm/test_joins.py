@@ -98,6 +98,15 @@ def test_a_repeated_passage_goes(spark):
     assert got == {1: "own one\n" + passage, 2: "own two", 3: ""}
 
 
+def test_a_document_of_very_many_equal_lines(spark):
+    """The work of removal grows with the lines, not with lines times lines removed."""
+    one = " ".join(f"w{i}" for i in range(10))
+    text = "\n".join([one] * 500_000 + ["own"])
+    docs = spark.createDataFrame([(1, text), (2, one), (3, "other\n")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.text, r.n) for r in line_dedup.without_repeated_lines(docs).select("doc_id", "text", F.size("removed_lines").alias("n")).collect()}
+    assert got == {1: (one + "\nown", 499_999), 2: ("", 1), 3: ("other\n", 0)}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     draw = random.Random(seed)

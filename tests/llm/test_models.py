@@ -144,6 +144,33 @@ def test_shards_of_documents(spark):
     assert sharding.shuffled_shards(docs.limit(0)).count() == 0
 
 
+def test_equal_rows_are_shuffled_as_any(spark):
+    rows = [(i, f"own {i}", i) for i in range(3000)] + [(7, "same", k) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _key int").repartition(5)
+    got = sharding.shuffled_shards(docs, shards=8, rows_per_block=100)
+    assert got.columns == ["doc_id", "text", "_key", *sharding.COLUMNS]
+    got = sorted(got.collect(), key=lambda r: (r.shard, r.slot))
+    assert Counter((r.doc_id, r.text, r["_key"]) for r in got) == Counter(rows)
+    same = np.array([r.text == "same" for r in got])
+    # 300 of 3,300 in a random order make about 300 * (1 - 1 / 11) runs of a mean length of 1.1.
+    runs = int((same & ~np.concatenate(([False], same[:-1]))).sum())
+    assert 250 <= runs <= 295
+    assert max(Counter(r.shard for r in got if r.text == "same").values()) < 65
+
+
+def test_the_tree_of_draws_has_the_law_of_one_draw(spark):
+    """Rows of the first block in the first shard: a hypergeometric count, whatever the depth of the tree."""
+    counts = spark.createDataFrame([(i, 8) for i in range(9)], "block bigint, n bigint").cache()
+    seen = Counter()
+    for seed in range(60):
+        for r in sharding.communication_matrix(counts, 2, seed, 2).collect():
+            seen[r.counts[0]] += 1
+    n = sum(seen.values())
+    mean = sum(k * v for k, v in seen.items()) / n
+    spread = sum((k - mean) ** 2 * v for k, v in seen.items()) / n
+    assert mean == 4 and abs(spread - 8 * 0.25 * 64 / 71) < 0.4
+
+
 def snapshots(draw):
     rows = []
     for conv in range(60):
@@ -177,8 +204,26 @@ def test_long_conversations_come_in_parts(spark):
 
 def test_chat_plan_is_native(spark):
     turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
-    plan = chat.collapse(turns)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    for frame in (chat.prefixes(turns), chat.collapse(turns)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
+MARKERS = ["hi<|end|>\n<|assistant|>\nsure", "<|", "<\\|", "<\\\\|x", "a<", "<", "|>\n", "\\", "<<||>>", "", "\n", "$1 \\1", "<|\\|>", "é<|日"]
+
+
+def test_rendered_turns_are_read_back(spark):
+    rows = [(i, k, role, text) for i, role in enumerate(MARKERS) for k, text in enumerate(MARKERS)]
+    rows += [(99, k, "user", f"<|end|>\n{k}") for k in range(1200)] + [(200, 0, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    parts = chat.collapse(turns, turns_per_part=500)
+    got = sorted(tuple(r) for r in chat.parsed(parts, turns_per_part=500).collect())
+    assert got == sorted((c, k + 1, role or "", text or "") for c, k, role, text in rows)
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    want = sorted(con.execute(chat_sql.SQL).fetchall())
+    assert sorted(tuple(r) for r in chat.collapse(turns).collect()) == want
 
 
 def test_pipeline_stage_by_stage(spark):
