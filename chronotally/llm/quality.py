@@ -6,9 +6,12 @@ Each line with a word is judged on its own:
 * **symbols**: a tenth or more of its characters are of ``#*$%&|<>``, and there are five or more
 * **punctuation**: twenty words or more and no mark that ends a sentence, of any script, anywhere
 * **boilerplate**: at most 40 words with a notice or consent banner, or at most twelve that begin
-  with a phrase of menus or prompts or mostly hold one; such phrases inside of prose do not count
+  with a phrase of menus or prompts or mostly hold one; such phrases inside of prose do not count.
+  Phrases are English, German, French and Spanish; other languages have the other three rules.
 
-Lines without a word are kept as they are. What is left is the cleaned text. A document is
+The numbers are parameters (:class:`LineRules`).
+
+Lines without a word are kept as they are. Bytes that are no UTF-8 are kept as well; the rules take them for marks of no kind. What is left is the cleaned text. A document is
 rejected if it fails the base rules (fewer than ten words, or over a fifth of its words in
 repeated windows of five), or if its bad lines hold more than ``max_lost`` of its words.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +35,25 @@ from chronotally.llm.tables import appended, extended, without
 from chronotally.llm.words import line_codes, lines_of, slices, windows, words_of
 
 SEPARATORS = frozenset({b"|", b">", b"<", b"/", b"\xc2\xbb", b"\xc2\xab", b"\xc2\xb7", b"\xe2\x80\xa2", b"-", b"*"})
-#: What a line needs for a closer look.
+#: What a line needs for a closer look, in lower case.
 _CANDIDATE = re.compile(
     rb"all rights reserved|copyright|licen[sc]ed under|released under|public licen[sc]e"
-    rb"|privacy policy|terms of (?:use|service)|accept (?:all )?cookies|use[sd]? cookies"
-    rb"|enable javascript|skip to (?:main )?content|sign in|log ?in to|subscribe to|click here"
-    rb"|back to top|share this",
-    re.I,
+    rb"|privacy policy|terms of (?:use|service)|cookies|javascript|skip to (?:main )?content|sign in|log ?in to"
+    rb"|subscribe to|click here|back to top|share this"
+    rb"|rechte vorbehalten|anmelden|klicken|seitenanfang|datenschutz|impressum|abonnieren|lizenz"
+    rb"|tous droits r|se connecter|cliquez|retour en haut|mentions l|politique de confidentialit|abonnez|sous licence"
+    rb"|derechos reservados|iniciar sesi|haga clic|haz clic|volver arriba|aviso legal|tica de privacidad|suscr|licencia"
 )
 #: Notices wherever they stand in a line.
 _NOTICE = re.compile(
     r"\b(?:all rights reserved|accept (?:all )?cookies|(?:site|page|service|shop|store|app|blog)s? uses? cookies|we use cookies"
     r"|enable javascript|skip to (?:main )?content|agree to (?:our|the|these) (?:terms of (?:use|service)|privacy policy))\b"
-    r"|\bcopyright\W{0,2}(?:©|\(c\))|(?:©|\(c\))\W{0,2}copyright\b",
+    r"|\bcopyright\W{0,2}(?:©|\(c\))|(?:©|\(c\))\W{0,2}copyright\b"
+    r"|\b(?:alle rechte vorbehalten|alle cookies akzeptieren|(?:seite|website|webseite) (?:verwendet|nutzt|benutzt) cookies"
+    r"|wir (?:verwenden|nutzen|benutzen) cookies|aktivieren sie javascript|javascript aktivieren"
+    r"|tous droits réservés|accepter (?:tous )?les cookies|site utilise des cookies|nous utilisons des cookies|activ(?:er|ez) javascript"
+    r"|todos los derechos reservados|aceptar (?:todas )?(?:las )?cookies|(?:sitio|sitio web|web|página) (?:usa|utiliza) cookies"
+    r"|(?:usamos|utilizamos) cookies|activ(?:ar|e) javascript)\b",
     re.I,
 )
 #: Phrases of prose as well: they count where they begin a short line or a part of it between separators.
@@ -55,11 +65,23 @@ _BEGINS = re.compile(
     r"|(?:licen[sc]ed|released) under (?:(?:the|a|an) )?(?:(?:cc|cc0|creative commons|[al]?gpl|gnu|mit|bsd|apache|mozilla)\b|[^;]*\blicen[sc]e\b))",
     re.I,
 )
+#: Entries of menus and prompts in other languages: they count as all of a short line or of a part between separators.
+_ENTRY = re.compile(
+    r"(?:^|[|•·»/>])\W*(?:"
+    r"(?:jetzt )?anmelden|(?:bitte )?melden sie sich an|hier klicken|(?:bitte )?klicken sie hier|(?:zurück )?(?:nach oben|zum seitenanfang)"
+    r"|datenschutz(?:erklärung)?|impressum|(?:unseren )?newsletter abonnieren|abonnieren sie unseren newsletter"
+    r"|(?:lizenziert|veröffentlicht) unter (?:der |einer )?[^.;]{0,60}\b(?:lizenz|cc|gpl|mit)\b[^;]{0,20}"
+    r"|se connecter|connectez-vous(?: pour continuer)?|cliquez ici(?: pour [^.;|]{1,40})?|retour en haut(?: de (?:la )?page)?|mentions légales"
+    r"|politique de confidentialité|abonnez-vous(?: à notre (?:lettre d['’]information|newsletter))?"
+    r"|(?:publié |distribué )?sous licence (?:cc|creative commons|gnu|[al]?gpl|mit|apache)\b[^;]{0,40}"
+    r"|iniciar sesión|inicie sesión(?: para continuar)?|ha(?:ga|z) clic aquí(?: para [^.;|]{1,40})?|volver arriba|aviso legal|política de privacidad"
+    r"|suscríb(?:ete|ase) a nuestr[oa] (?:boletín|newsletter)|(?:publicado )?bajo (?:la |una )?licencia (?:cc|creative commons|gnu|[al]?gpl|mit|apache)\b[^;]{0,40}"
+    r")\W*(?:$|[|•·»/>])",
+    re.I,
+)
 #: Those that count if they are half of a short line or more, or its end.
 _MOST = re.compile(r"\b(?:privacy policy|terms of (?:use|service)|back to top|public licen[sc]e|click here)\b", re.I)
 _AT_END = re.compile(r"\bclick here\W*$", re.I)
-#: Words of a short line.
-SHORT = 12
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 #: Code points of the Unicode property Sentence_Terminal.
@@ -75,6 +97,24 @@ _TERMINAL = (
 _ENDS = re.compile("[;:\u2026" + "".join("-".join(chr(int(c, 16)) for c in r.split("-")) for r in _TERMINAL.split()) + "]")
 _ASCII_ENDS = re.compile(rb"[.!?;:]")
 
+
+@dataclass(frozen=True)
+class LineRules:
+    """What a line needs to fail: numbers of words, or shares of words or characters."""
+
+    separators: int = 3
+    separator_share: float = 0.2
+    symbols: int = 5
+    symbol_share: float = 0.1
+    #: Words from which a line has to end a sentence.
+    sentence_words: int = 20
+    #: Words up to which a line may be a notice, and up to which a menu entry or prompt.
+    notice_words: int = 40
+    short_words: int = 12
+
+
+RULES = LineRules()
+
 COLUMNS = {
     "n_words": "bigint",
     "word_chars": "bigint",
@@ -88,32 +128,32 @@ COLUMNS = {
 }
 
 
-def boilerplate(line: bytes, n_words: int) -> bool:
+def boilerplate(line: bytes, n_words: int, rules: LineRules = RULES) -> bool:
     """Whether a line is a notice, a menu entry or a consent banner, and no prose with such words."""
-    if n_words > 40 or not _CANDIDATE.search(line):
+    if n_words > rules.notice_words or not _CANDIDATE.search(line.lower()):
         return False
-    text = line.decode()
+    text = line.decode(errors="replace")
     if _NOTICE.search(text):
         return True
-    if n_words > SHORT:
+    if n_words > rules.short_words:
         return False
     most = sum(len(m.group().split()) for m in _MOST.finditer(text))
-    return 2 * most >= n_words or _BEGINS.search(text) is not None or _AT_END.search(text) is not None
+    return 2 * most >= n_words or any(p.search(text) for p in (_BEGINS, _AT_END, _ENTRY))
 
 
-def line_fails(line: bytes) -> bool:
+def line_fails(line: bytes, rules: LineRules = RULES) -> bool:
     """Whether a line with at least one word breaks a rule."""
     words = line.split()
     symbols = sum(line.count(c) for c in b"#*$%&|<>")
     return (
-        (separators := sum(w in SEPARATORS for w in words)) >= 3
-        and 5 * separators >= len(words)
-        or symbols >= 5
-        and 10 * symbols >= sum(map(len, words))
-        or len(words) >= 20
+        (separators := sum(w in SEPARATORS for w in words)) >= rules.separators
+        and separators >= rules.separator_share * len(words)
+        or symbols >= rules.symbols
+        and symbols >= rules.symbol_share * sum(map(len, words))
+        or len(words) >= rules.sentence_words
         and not _ASCII_ENDS.search(line)
-        and not _ENDS.search(line.decode())
-        or boilerplate(line, len(words))
+        and not _ENDS.search(line.decode(errors="replace"))
+        or boilerplate(line, len(words), rules)
     )
 
 
@@ -160,18 +200,18 @@ def measures(column: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def _judge(column: pa.Array, max_lost: float) -> dict[str, pa.Array]:
+def _judge(column: pa.Array, max_lost: float, rules: LineRules = RULES) -> dict[str, pa.Array]:
     found = measures(column)
     n, lost, cleaned = found["n_words"], [], []
-    for text in column.to_pylist():
+    for text in column.cast(pa.binary()).to_pylist():
         keep, gone = [], 0
-        for line in (text or "").encode().split(b"\n"):
-            if (words := len(line.split())) and line_fails(line):
+        for line in (text or b"").split(b"\n"):
+            if (words := len(line.split())) and line_fails(line, rules):
                 gone += words
             else:
                 keep.append(line)
         lost.append(gone)
-        cleaned.append(None if text is None else b"\n".join(keep).decode())
+        cleaned.append(None if text is None else b"\n".join(keep))
     failed = (n < 10) | (100 * found["n_repeat_words"] > 20 * n)
     lost = np.array(lost, np.int64)
     return {
@@ -179,18 +219,18 @@ def _judge(column: pa.Array, max_lost: float) -> dict[str, pa.Array]:
         "base_failed": pa.array(failed),
         "lost_words": pa.array(lost),
         "kept": pa.array(~failed & (lost <= max_lost * n)),
-        "cleaned": pa.array(cleaned, pa.string()),
+        "cleaned": pa.array(cleaned, pa.binary()).view(pa.string()),
     }
 
 
-def quality(docs: DataFrame, text: str = "text", max_lost: float = 0.5) -> DataFrame:
+def quality(docs: DataFrame, text: str = "text", max_lost: float = 0.5, rules: LineRules = RULES) -> DataFrame:
     """``docs`` with the columns of :data:`COLUMNS`: base counts, the verdict ``kept``, and the
     text without its bad lines (``cleaned``). One pass, no shuffle."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                yield appended(part, _judge(part.column(text), max_lost))
+                yield appended(part, _judge(part.column(text), max_lost, rules))
 
     docs = without(docs, COLUMNS)
     return docs.mapInArrow(judge, extended(docs, COLUMNS))

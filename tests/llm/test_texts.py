@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chronotally.llm import bpe, quality, tokens
@@ -109,6 +110,15 @@ PROSE = [
     "She came back to top form in the second half of the season.",
     "Visitors click here and there without reading what the page says.",
     "In terms of use of water the new plant is better.",
+    "Der Datenschutz war das Thema der ersten Sitzung im Herbst.",
+    "Sie wollte sich erst anmelden und dann nach oben gehen.",
+    "Alle Rechte der Bürger wurden in der neuen Verfassung des Landes festgeschrieben.",
+    "Il fallait se connecter au réseau de la ville pour avoir de l'eau.",
+    "La politique de confidentialité des banques a changé au siècle dernier.",
+    "Les droits réservés aux nobles furent abolis en une nuit.",
+    "La política de privacidad de la empresa fue criticada por los jueces.",
+    "Tuvo que volver arriba porque había olvidado las llaves de casa.",
+    "Das Programm wurde unter großem Beifall im alten Theater der Stadt veröffentlicht.",
 ]
 
 
@@ -128,12 +138,45 @@ def test_prose_with_a_phrase_of_notices_stays(line):
         "Privacy Policy | Terms of Service", "This site uses cookies to improve your visit.", "Back to top", "Skip to main content",
         "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3.",
         "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "© 2019 Example Inc. All rights reserved.",
+        "Alle Rechte vorbehalten.", "Diese Website verwendet Cookies, um Ihnen den Besuch angenehm zu machen.", "Jetzt anmelden", "Hier klicken",
+        "Impressum | Datenschutz", "Newsletter abonnieren", "Veröffentlicht unter der MIT-Lizenz.", "© 2020 Beispiel GmbH. ALLE RECHTE VORBEHALTEN",
+        "Tous droits réservés.", "Accepter tous les cookies", "Se connecter", "Mentions légales", "Cliquez ici pour en savoir plus", "Sous licence MIT.",
+        "Todos los derechos reservados.", "Aceptar todas las cookies", "Iniciar sesión", "Política de privacidad", "Bajo licencia Creative Commons.",
     ],
 )
 def test_notices_and_prompts_go(line):
     assert quality.line_fails(line.encode())
 
 
+def test_verdict_and_lost_words_by_brute_force():
+    draw = random.Random(3)
+    pool = PROSE + ["Sign in", "All rights reserved.", "a | b | c | d", "", "  ", "no end " * 12, "Tous droits réservés.", "#### $$$$ x"]
+    texts = ["\n".join(draw.choices(pool, k=draw.randrange(1, 9))) for _ in range(200)] + ODD
+    judged = {k: v.to_pylist() for k, v in quality._judge(pa.array(texts), 0.5).items()}
+    for i, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        words = [re.findall(r"[^\x20\x09-\x0D]+", line) for line in lines]
+        bad = [bool(w) and quality.line_fails(line.encode()) for w, line in zip(words, lines)]
+        n, _, _, _, again = base(text)
+        lost = sum(len(w) for w, b in zip(words, bad) if b)
+        assert judged["lost_words"][i] == lost
+        assert judged["cleaned"][i] == (None if text is None else "\n".join(x for x, b in zip(lines, bad) if not b))
+        assert judged["kept"][i] == (n >= 10 and 100 * again <= 20 * n and lost <= 0.5 * n)
+
+
+def test_the_numbers_of_the_line_rules_are_parameters():
+    line = b"no end " * 8
+    assert not quality.line_fails(line) and quality.line_fails(line, quality.LineRules(sentence_words=16))
+    assert quality.line_fails(b"Click here to read more") and not quality.line_fails(b"Click here to read more", quality.LineRules(short_words=4))
+
+
+def test_quality_of_bytes_that_are_no_text(spark):
+    rows = spark.sql("select 1 as doc_id, cast(concat(X'61ff6220', cast('b c d e f g h i j k.\\nSign in\\nl' as binary)) as string) as text")
+    got = quality.quality(rows).select("n_words", "kept", F.hex(F.col("cleaned").cast("binary")).alias("b")).first()
+    assert (got.n_words, got.kept) == (14, True)
+    assert bytes.fromhex(got.b) == b"a\xffb b c d e f g h i j k.\nl"
+
+
 def test_quality_of_odd_rows(spark):
     good = "A sentence with quite a few different words stands here. Another one follows it."
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, good), (7, good), (7, good), (8, "a | b | c | d | e\n" + good)]
