@@ -6,12 +6,13 @@ there or not, and stands for 64 bits of its hash. The score is the logistic func
 for each known term, and the product of two terms' vectors for each pair of known terms, so that
 terms may weigh more or less together than each alone.
 
-The model is fitted on a bounded sample of labelled rows: at most ``per_class`` documents of each
-label, those with the least hash of their id, so 2 x 4,000 at first. Only terms whose rate differs
-clearly between the labels are known to it, the ``most_terms`` clearest of them. A term is in five
-documents of the sample or more; if a label has fewer, in as many, and half of them have that label. Both
-labels weigh the same in the fit, so 0.5 is where a text is as typical of one as of the other. Both
-bounds are parameters; they bound what one task and the driver hold, and scoring covers every row.
+A term's place in the hashed space of ``2**bits`` places is the low bits of its code; terms of one place
+count as one. The model is fitted on a bounded sample of labelled rows: at most ``per_class`` documents
+of each label, those with the least hash of their id, so 2 x 4,000 at first. This parameter bounds what
+one task and the driver hold, together with the space, and scoring covers every row. All terms of
+the sample take part in the fit, also those that tell nothing alone but do in pairs. Penalties on
+weights and vectors bring to nothing what does not help; places left with neither are not known to
+the model. Both labels weigh the same in the fit, so 0.5 is where a text is as typical of one as of the other.
 
 A text without a known term, such as a null or empty one, tells nothing: its score is the share of
 toxic rows, whatever the fit. So is every score if no term tells the labels apart. Labels that are null, rows
@@ -34,46 +35,50 @@ from pyspark.sql import functions as F
 from chronotally.llm.tables import appended, extended, without
 from chronotally.llm.words import prefix_codes, slices, words_of
 
+#: The hashed space has 2**BITS places.
+BITS = 20
+
 _NO_LETTER = np.ones(256, bool)
 _NO_LETTER[list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = False
 
 
-def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms of all texts, as ``(text, code)`` sorted by both."""
+def terms(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of all texts, as ``(text, place in the hashed space)`` sorted by both."""
     words = words_of(column, lower=True, white=_NO_LETTER, seed=1)
-    text = np.repeat(np.arange(len(words.first) - 1), words.counts())
-    codes = np.concatenate((words.codes, prefix_codes(words, 4, 2), prefix_codes(words, 5, 3)))
-    text = np.tile(text, 3)
-    order = np.lexsort((codes, text))
-    text, codes = text[order], codes[order]
-    new = np.ones(len(codes), bool)
-    new[1:] = (codes[1:] != codes[:-1]) | (text[1:] != text[:-1])
-    return text[new], codes[new]
+    text = np.repeat(np.arange(len(words.first) - 1, dtype=np.uint64), words.counts()) << np.uint64(bits)
+    mask = np.uint64((1 << bits) - 1)
+    codes = (words.codes, prefix_codes(words, 4, 2), prefix_codes(words, 5, 3))
+    both = np.unique(np.concatenate([text | (c & mask) for c in codes]))
+    return (both >> np.uint64(bits)).astype(np.int64), both & mask
 
 
 @dataclass
 class Model:
-    """``known`` codes in order, a weight and a vector for each, the bias, and the log odds of texts without a known term."""
+    """``known`` places of the hashed space in order, a weight and a vector for each, the bias, and the
+    log odds of texts without a known term."""
 
     known: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
     bias: float
     unknown: float
+    bits: int = BITS
 
     def scores(self, text: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
-        place = np.searchsorted(self.known, codes)
-        place[place == len(self.known)] = 0
-        hit = self.known[place] == codes if len(self.known) else np.zeros(len(codes), bool)
-        text, place = text[hit], place[hit]
+        number = np.full(1 << self.bits, -1, np.int32)
+        number[self.known] = np.arange(len(self.known))
+        place = number[codes & np.uint64((1 << self.bits) - 1)]
+        text, place = text[place >= 0], place[place >= 0]
         told = np.bincount(text, minlength=n) > 0
         return logistic(np.where(told, self.bias + self.raw(text, place, n), self.unknown))
 
     def raw(self, text: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
-        out = np.bincount(text, self.weights[place], n) if len(text) else np.zeros(n)
-        for k in range(self.vectors.shape[1]):
-            v = self.vectors[place, k]
-            out += 0.5 * (np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n)) if len(text) else 0
+        """The weights of each text's terms and the products of the vectors of all pairs of them."""
+        if not len(text):
+            return np.zeros(n)
+        out = np.bincount(text, (self.weights - 0.5 * (self.vectors**2).sum(1))[place], n)
+        for v in self.vectors.T:
+            out += 0.5 * np.bincount(text, v[place], n) ** 2
         return out
 
 
@@ -85,65 +90,84 @@ def fit(
     documents: list[np.ndarray],
     labels: np.ndarray,
     prior: float,
-    most_terms: int = 4096,
+    bits: int = BITS,
     factors: int = 4,
     rounds: int = 60,
     rate: float = 0.1,
-    shrink: float = 0.002,
+    sparse: float = 0.0005,
+    shrink: float = 0.05,
+    damp: float = 2e-3,
+    batch: int = 256,
     seed: int = 7,
 ) -> Model:
-    """A machine from the distinct terms of each document of the sample, by AdaGrad."""
+    """A machine from the distinct terms of each document of the sample, by AdaGrad.
+
+    Weights follow by dual averaging: a term weighs nothing unless its summed gradient exceeds ``sparse`` a
+    step. Vectors start small and, from a third of the rounds on, lose ``shrink`` of their length in each, so
+    that only those stay which the labels keep up; ``damp`` keeps rare terms from large first steps. From
+    there on, terms with neither are left out of the fit."""
     n, positive = len(labels), int(labels.sum())
-    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), log_odds(prior), log_odds(prior))
+    nothing = Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)), log_odds(prior), log_odds(prior), bits)
     if not 0 < positive < n:
         return nothing
-    text = np.repeat(np.arange(n), [*map(len, documents)])
-    codes = np.concatenate(documents)
-    all_terms, place, total = np.unique(codes, return_inverse=True, return_counts=True)
-    toxic = np.bincount(place, labels[text], len(all_terms))
-    share, other = toxic / positive, (total - toxic) / (n - positive)
-    both = total / n
-    clear = np.abs(share - other) / np.sqrt(both * (1 - both) * (1 / positive + 1 / (n - positive)) + 1e-12)
-    least = min(5, positive, n - positive)
-    enough = total >= least
-    if least < 5:
-        enough &= 2 * (toxic if positive <= n - positive else total - toxic) >= total
-    chosen = np.flatnonzero(enough & (clear >= 4))
-    if not len(chosen):
+    documents = [np.unique(d & np.uint64((1 << bits) - 1)).astype(np.int64) for d in documents]
+    known, place = np.unique(np.concatenate(documents), return_inverse=True)
+    if not len(known):
         return nothing
-    chosen = np.sort(chosen[np.argsort(-clear[chosen], kind="stable")[:most_terms]])
-    number = np.full(len(all_terms), -1)
-    number[chosen] = np.arange(len(chosen))
-    place = number[place]
-    text, place = text[place >= 0], place[place >= 0]
+    begins = np.concatenate(([0], np.cumsum([*map(len, documents)])))
+    weight = np.where(labels > 0, n / (2 * positive), n / (2 * (n - positive)))
 
     draw = np.random.default_rng(seed)
-    model = Model(all_terms[chosen], np.zeros(len(chosen)), draw.normal(0, 0.01, (len(chosen), factors)), 0.0, log_odds(prior))
-    seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), factors), 1e-6), 1e-6
-    begins = np.searchsorted(text, np.arange(n + 1))
-    weight = np.where(labels > 0, n / (2 * positive), n / (2 * (n - positive)))
-    for _ in range(rounds):
-        order = draw.permutation(n)
-        for at in range(0, n, 256):
-            some = order[at : at + 256]
-            sizes = begins[some + 1] - begins[some]
-            row = np.repeat(np.arange(len(some)), sizes)
-            entry = np.arange(sizes.sum()) + np.repeat(begins[some] - (np.cumsum(sizes) - sizes), sizes)
-            term = place[entry]
-            error = (logistic(model.bias + model.raw(row, term, len(some))) - labels[some]) * weight[some] / len(some)
-            used = np.unique(term)
-            step = np.bincount(term, error[row], len(chosen))[used] + shrink * model.weights[used]
+    sums_w, seen_w = np.zeros(len(known)), np.full(len(known), 1e-6)
+    vectors, seen_v = draw.normal(0, 0.01, (len(known), factors)), np.full((len(known), factors), damp)
+    bias, seen_b, steps = 0.0, 1e-6, 0
+
+    def weights(of: np.ndarray) -> np.ndarray:
+        over = np.maximum(np.abs(sums_w[of]) - steps * sparse, 0)
+        return -rate * np.sign(sums_w[of]) * over / np.sqrt(seen_w[of])
+
+    def active() -> np.ndarray:
+        return (weights(np.arange(len(known))) != 0) | vectors.any(axis=1)
+
+    def dealt(entries: np.ndarray) -> list[tuple]:
+        """The documents in batches: the entries' rows, the terms used, and which of them each entry is."""
+        out = []
+        for at in range(0, n, batch):
+            some = order[at : at + batch]
+            row = np.repeat(np.arange(len(some)), begins[some + 1] - begins[some])
+            term = np.concatenate([entries[begins[d] : begins[d + 1]] for d in some])
+            out.append((some, row[term >= 0], *np.unique(term[term >= 0], return_inverse=True)))
+        return out
+
+    order, entries, in_use = draw.permutation(n), place, len(known)
+    batches = dealt(entries)
+    for turn in range(rounds):
+        for i in draw.permutation(len(batches)):
+            some, row, used, term = batches[i]
+            m, v = len(some), vectors[used]
+            totals = np.stack([np.bincount(row, x[term], m) for x in v.T], 1)
+            raw = np.bincount(row, (weights(used) - 0.5 * (v**2).sum(1))[term], m) + 0.5 * (totals**2).sum(1)
+            error = (logistic(bias + raw) - labels[some]) * weight[some] / m
+            steps += 1
+            step = np.bincount(term, error[row], len(used))
+            sums_w[used] += step
             seen_w[used] += step**2
             for k in range(factors):
-                v = model.vectors[:, k]
-                sums = np.bincount(row, v[term], len(some))
-                grad = np.bincount(term, error[row] * (sums[row] - v[term]), len(chosen))[used] + shrink * v[used]
+                grad = np.bincount(term, (error * totals[:, k])[row], len(used)) - step * v[:, k]
                 seen_v[used, k] += grad**2
-                model.vectors[used, k] -= rate * grad / np.sqrt(seen_v[used, k])
-            model.weights[used] -= rate * step / np.sqrt(seen_w[used])
+                vectors[used, k] -= rate * grad / np.sqrt(seen_v[used, k])
             seen_b += error.sum() ** 2
-            model.bias -= rate * error.sum() / np.sqrt(seen_b)
-    return model
+            bias -= rate * error.sum() / np.sqrt(seen_b)
+        if turn >= rounds // 3:
+            vectors *= np.maximum(1 - shrink / (np.linalg.norm(vectors, axis=1, keepdims=True) + 1e-12), 0)
+            told = active()
+            if told.sum() < in_use // 2:
+                entries, in_use = np.where(told[entries] & (entries >= 0), entries, -1), int(told.sum())
+                batches = dealt(entries)
+                sums_w[~told] = 0
+    found = weights(np.arange(len(known)))
+    told = np.flatnonzero(active())
+    return Model(known[told], found[told], vectors[told], float(bias), log_odds(prior), bits)
 
 
 def log_odds(p: float) -> float:
@@ -158,7 +182,7 @@ def train(
     text: str = "text",
     label: str = "toxic",
     per_class: int = 4000,
-    most_terms: int = 4096,
+    bits: int = BITS,
 ) -> Model:
     """A model from ``labels`` (``doc_id`` and a 0/1 label) and the texts they belong to."""
     usable = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
@@ -176,17 +200,17 @@ def train(
     def term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                of, codes = terms(part.column("text"))
+                of, codes = terms(part.column("text"), bits)
                 cut = np.searchsorted(of, np.arange(len(part) + 1))
-                packed = [codes[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+                packed = [codes[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("label"), pa.array(packed, pa.binary())], names=["id", "label", "terms"]
                 )
 
     def fit_all(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        found = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("terms")]
-        model = fit(found, np.array(table.column("label").to_pylist(), np.float64), prior, most_terms)
+        found = [np.frombuffer(x.as_py(), np.uint32).astype(np.uint64) for x in table.column("terms")]
+        model = fit(found, np.array(table.column("label").to_pylist(), np.float64), prior, bits)
         return pa.table(
             {
                 "known": [model.known.tobytes()],
@@ -207,14 +231,15 @@ def train(
         .collect()
     )
     if not fitted:
-        return fit([], np.zeros(0), prior)
+        return fit([], np.zeros(0), prior, bits)
     row = fitted[0]
     return Model(
-        np.frombuffer(row.known, np.uint64),
+        np.frombuffer(row.known, np.int64),
         np.frombuffer(row.weights, np.float64),
         np.frombuffer(row.vectors, np.float64).reshape(-1, row.factors),
         row.bias,
         row.unknown,
+        bits,
     )
 
 
@@ -225,7 +250,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                found = model.scores(*terms(part.column(text)), len(part))
+                found = model.scores(*terms(part.column(text), model.bits), len(part))
                 yield appended(part, {"score": pa.array(found), "predicted": pa.array((found >= 0.5).astype(np.int32))})
 
     docs = without(docs, ["score", "predicted"])

@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +32,45 @@ def test_pairs_of_terms_are_learned():
     assert ((scores >= 0.5) == np.array(labels[1200:])).mean() > 0.98
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pairs_of_terms_that_tell_nothing_alone_are_learned(seed):
+    """Toxic is what has exactly one of two terms."""
+    draw = np.random.default_rng(seed)
+    documents, labels = [], []
+    for _ in range(2200):
+        a, b = draw.random(2) < 0.5
+        noise = draw.integers(100, 140, 6).astype(np.uint64)
+        documents.append(np.unique(np.concatenate((noise, np.array([1] * int(a) + [2] * int(b), np.uint64)))))
+        labels.append(float(a != b))
+    model = toxicity.fit(documents[:1200], np.array(labels[:1200]), np.mean(labels[:1200]))
+    rest = documents[1200:]
+    scores = model.scores(np.repeat(np.arange(1000), [*map(len, rest)]), np.concatenate(rest), 1000)
+    assert ((scores >= 0.5) == np.array(labels[1200:])).mean() > 0.95
+
+
+def test_a_score_is_bias_and_weights_and_products_of_all_pairs():
+    draw = np.random.default_rng(5)
+    known = np.sort(draw.choice(1 << 10, 40, replace=False))
+    model = toxicity.Model(known, draw.normal(0, 1, 40), draw.normal(0, 1, (40, 3)), -0.3, -2.0, 10)
+    texts = [np.unique(draw.integers(0, 1 << 10, n)).astype(np.uint64) for n in (0, 1, 30, 200, 900)]
+    scores = model.scores(np.repeat(np.arange(5), [*map(len, texts)]), np.concatenate(texts), 5)
+    for text, score in zip(texts, scores):
+        at = [i for i, k in enumerate(known.tolist()) if k in set(text.tolist())]
+        total = -0.3 + sum(model.weights[i] for i in at)
+        total += sum(float(model.vectors[i] @ model.vectors[j]) for i in at for j in at if i < j)
+        assert score == pytest.approx(toxicity.logistic(np.array(total if at else -2.0)), abs=1e-9)
+
+
+def test_terms_are_distinct_places_of_each_text():
+    texts = pa.array(["You idiot, you", None, "", "straße 日本 you", "x " * 50_000 + "you"])
+    of, places = toxicity.terms(texts, 12)
+    assert set(of.tolist()) == {0, 3, 4} and places.max() < 1 << 12
+    assert all(len(set(places[of == i].tolist())) == (of == i).sum() for i in range(5))
+    own = [set(places[of == i].tolist()) for i in range(5)]
+    # "you" is its own four and five first bytes, hashed apart: three places.
+    assert len(own[0] & own[3] & own[4]) == 3 and len(own[4]) == 6
+
+
 @pytest.mark.parametrize("n_clean", [20, 300, 4000])
 @pytest.mark.parametrize("n_toxic", [1, 2, 3, 4])
 def test_clean_documents_stay_if_toxic_labels_are_rare(n_toxic, n_clean):
