@@ -1,6 +1,7 @@
 """Documents linked by the Jaccard similarity of their word n-grams, and their groups.
 
-An n-gram stands for 64 bits of its hash; a document is the set of its distinct n-grams, and
+An n-gram stands for 64 bits of its hash, of which the join keeps its range and the low 40 bits: within a
+range of about two million, one in some 500,000 is taken for another. A document is the set of its distinct n-grams, and
 documents with equal sets are one entry from the start. The join goes rare first:
 
 1. **Frequencies.** Each task packs the n-grams of its entries by range of the hash. A task for each
@@ -13,7 +14,8 @@ documents with equal sets are one entry from the start. The join goes rare first
    ``n - ceil(t * n) + 1`` are the prefix, and two similar entries have one of them in common.
 3. **Candidates.** Entries meet by the n-grams of their prefixes, subject to their lengths, to what
    the places in the prefix leave possible, and to what sketches of their shared n-grams leave
-   possible (the suffix filter, a bound on how far the sets are apart). Within one n-gram first
+   possible (the suffix filter, a bound on how far the sets are apart); the lengths that an entry's shared
+   n-grams leave possible are part of the key they meet by. Within one n-gram first
    only each entry and the one most likely at the middle of its group meet; links found so far
    make groups; then all entries of different groups meet. A large group of near copies so costs about a check for each member, and no link between two
    groups is missed. Pairs are verified exactly, on whole sets.
@@ -409,6 +411,28 @@ def _possible(percent: int):
     )
 
 
+def _band(n):
+    """Lengths by steps of about a sixteenth, so that a prefix meets few of them."""
+    return F.floor(F.log(n.cast("double")) * 16).cast("int")
+
+
+def _meetings(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings ``a`` and ``b`` of one n-gram where b is no longer than a and may be similar to one so long.
+
+    A partner of an entry of ``n`` n-grams, ``s`` of them shared, has at most ``100 n / percent``, and
+    at most ``s (100 + percent) / percent - n``, as they have no more than ``s`` in common. The shorter
+    one looks for the longer in the bands of these lengths. Entries that share just a template have
+    no such band, however many they are."""
+    n, shared = F.col("n"), F.col("shared")
+    longest = F.floor(F.least(n * 100 / percent, shared * (100 + percent) / percent - n) + 1e-6)
+    a = postings.select("gram", _band(n).alias("band"), *_side("a"), longest.alias("most"))
+    b = postings.withColumn("longest", longest).filter("longest >= n")
+    b = b.select("gram", F.explode(F.sequence(_band(n), _band(F.col("longest")))).alias("band"), *_side("b"), "longest")
+    ordered = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
+    fits = (F.col("na") <= F.col("longest")) & (F.col("nb") <= F.col("most"))
+    return a.join(b, ["gram", "band"]).filter(ordered & fits).drop("longest", "most", "band")
+
+
 def links(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents (``doc_id, row, n_shingles, key``) and links ``a, b`` between keys that connect all similar ones."""
     documents = stored(_entries(docs, doc_id, text, size), "ngram-documents")
@@ -443,9 +467,8 @@ def links(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text
     placed = stored(_with_roots(postings, roots), "ngram-placed")
     mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("gram")
     open_postings = stored(placed.join(mixed, "gram"), "ngram-open")
-    a, b = (open_postings.select("gram", *_side(x)) for x in "ab")
-    meet = a.join(b, "gram").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _possible(percent))
-    rest = stored(_verified(meet.select("a", "b").distinct(), entries, percent).filter("similar").select("a", "b"), "ngram-rest")
+    meet = _meetings(open_postings, percent).filter((F.col("ra") != F.col("rb")) & _possible(percent))
+    rest = stored(_verified(meet.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), entries, percent).filter("similar").select("a", "b"), "ngram-rest")
     return documents, found.unionByName(rest)
 
 

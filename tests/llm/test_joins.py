@@ -226,6 +226,41 @@ def test_one_document_of_each_group_stays(spark):
     assert jaccard.groups(docs.limit(0)).count() == 0 and jaccard.representatives(docs.limit(0)).count() == 0
 
 
+def test_documents_of_one_template_do_not_all_meet(spark, monkeypatch):
+    """They share most n-grams, too few to be similar; the similar pairs among them are found."""
+    draw = random.Random(4)
+    template = [f"t{i}" for i in range(90)]
+    own = [[f"o{d}x{i}" for i in range(12)] for d in range(400)]
+    rows = [(d, " ".join(template + words)) for d, words in enumerate(own)]
+    rows += [(1000 + d, " ".join(template + own[d][: draw.choice((9, 10, 11))] + [f"e{d}"])) for d in range(0, 400, 40)]
+    met = []
+    meetings = jaccard._meetings
+    monkeypatch.setattr(jaccard, "_meetings", lambda *x: met.append(meetings(*x)) or met[-1])
+    got = {r.doc_id: r.component_id for r in jaccard.groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {d: d % 1000 for d, _ in rows}
+    assert met[0].count() <= 20 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_meetings_leave_out_no_possible_pair(spark, percent):
+    draw = random.Random(percent)
+    rows = []
+    for key in range(120):
+        n = draw.randrange(1, 60)
+        shared = draw.randrange(max(1, n * percent // 100), n + 1)
+        rows.append((draw.randrange(3), key, n, shared, 0, key, *[0] * jaccard.SKETCH))
+    words = ", ".join(f"w{i} bigint" for i in range(jaccard.SKETCH))
+    frame = spark.createDataFrame(rows, f"gram bigint, key bigint, n bigint, shared bigint, place int, root bigint, {words}")
+    met = jaccard._meetings(frame, percent).select("gram", "a", "b").collect()
+    got = {(r.gram, min(r.a, r.b), max(r.a, r.b)) for r in met}
+    assert len(got) == len(met)
+    for g, x, nx, sx, *_ in rows:
+        for h, y, ny, sy, *_ in rows:
+            common = min(sx, sy)
+            if g == h and x < y and 100 * common >= percent * (nx + ny - common):
+                assert (g, x, y) in got
+
+
 def exact(rows, k, asked):
     vectors = {}
     for i, v in rows:
