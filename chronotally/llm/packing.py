@@ -45,51 +45,54 @@ def candidates(sizes: np.ndarray, sentence_ends: np.ndarray, size: int, sentence
     documents, ``sentence_ends`` places in the stream behind which a sentence ends."""
     documents = np.cumsum(sizes)
     total = int(documents[-1])
-    inside = np.setdiff1d(sentence_ends, documents)
-    places = np.concatenate(([0], documents, inside))
-    costs = np.concatenate((np.zeros(len(documents) + 1), np.full(len(inside), sentence_cut)))
-    order = np.argsort(places, kind="stable")
-    places, costs = places[order], costs[order]
+    # The penalty of a cut at each place of the stream, less than 0 where none may stand.
+    cost = np.full(total + 1, -1.0)
+    cost[sentence_ends] = sentence_cut
+    cost[0] = 0
+    cost[documents] = 0
+    places = np.flatnonzero(cost >= 0)
     # Whole sequences before each gap, and from each place on where nothing else is near.
     wide = np.flatnonzero(np.diff(places) > size)
     more = [np.arange(b - size, a, -size) for a, b in zip(places[wide].tolist(), places[wide + 1].tolist())]
     front = np.concatenate((places, *more))
+    cost[front[len(places) :]] = forced_cut
     while len(front):
-        front = np.unique(front + size)
+        front = front + size
         front = front[front < total]
+        front = front[cost[front] < 0]
         front = front[front - places[np.searchsorted(places, front, "right") - 1] > forced_cut]
-        front = np.setdiff1d(front, more[-1]) if more else front
-        more.append(front)
-    more = np.setdiff1d(np.concatenate(more), places) if more else np.zeros(0, np.int64)
-    places = np.concatenate((places, more))
-    costs = np.concatenate((costs, np.full(len(more), forced_cut)))
-    order = np.argsort(places, kind="stable")
-    places, costs = places[order], costs[order]
-    assert total == places[-1]
-    return places, costs
+        cost[front] = forced_cut
+    places = np.flatnonzero(cost >= 0)
+    return places, cost[places]
 
 
 def best_cuts(places: np.ndarray, costs: np.ndarray, size: int, short: float) -> list[int]:
     """The cuts, from 0 to the end, with the least sum of padding and penalties, ``short`` being that
     of a sequence of half or a quarter of ``size``. Neighbouring places are at most ``size`` apart; ``size`` is a power of two for the lookups to be of use."""
-    at, cost = places.tolist(), costs.tolist()
-    index = {p: i for i, p in enumerate(at)}
-    least, came_from = [0.0] * len(at), [0] * len(at)
+    least, came_from, key = [0.0] * len(places), [0] * len(places), [0.0] * len(places)
     window: deque[int] = deque([0])  # of places, with rising values of least + place
-    key = [0.0] * len(at)
-    unpadded = (size // 2, size // 4)
-    for i in range(1, len(at)):
-        here = at[i]
-        while here - at[window[0]] > size:
+    at = places.tolist()
+    first = np.searchsorted(places, places - size).tolist()  # the first place that is near enough
+    unpadded = []
+    for length in (size // 2, size // 4):
+        j = np.searchsorted(places, places - length)
+        unpadded.append(np.where(places[j] == places - length, j, -1))
+    some = ((unpadded[0] >= 0) | (unpadded[1] >= 0)).tolist()
+    half, quarter = unpadded[0].tolist(), unpadded[1].tolist()
+    steps = zip(range(len(at)), at, costs.tolist(), first, some)
+    next(steps)
+    for i, here, cost, nearest, looked_up in steps:
+        while window[0] < nearest:
             window.popleft()
         best = window[0]
         value = key[best] + size - here
-        for length in unpadded:
-            j = index.get(here - length)
-            if j is not None and least[j] + short < value:
-                best, value = j, least[j] + short
-        least[i], came_from[i] = value + cost[i], best
-        mine = key[i] = least[i] + here
+        if looked_up:
+            for j in (half[i], quarter[i]):
+                if j >= 0 and least[j] + short < value:
+                    best, value = j, least[j] + short
+        value += cost
+        least[i], came_from[i] = value, best
+        mine = key[i] = value + here
         while window and key[window[-1]] >= mine:
             window.pop()
         window.append(i)

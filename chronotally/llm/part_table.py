@@ -1,8 +1,9 @@
 """Ids of texts from a table of their parts, looked up for a whole slice of texts at once with numpy.
 
 A byte-level vocabulary never joins a character that is not white space with white space after it, so
-texts are cut wherever white space begins, and the ids of a text are those of its parts. Parts repeat a
-great deal. Each distinct one is encoded once; of a slice of texts all parts are looked up together, by
+texts are cut wherever white space begins, and the ids of a text are those of its parts. Where the pattern
+of the vocabulary sets letters apart, they are cut behind letters too, so that a word is one part whatever
+sign follows it. Parts repeat a great deal. Each distinct one is encoded once; of a slice of texts all parts are looked up together, by
 their bytes: a part of at most 23 bytes is three 64-bit numbers, the last of which holds its size as
 well, and only an entry with the same three numbers is a hit. Longer parts go by a dictionary.
 
@@ -12,7 +13,7 @@ are not UTF-8 are encoded as U+FFFD.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 
@@ -42,23 +43,50 @@ def _wide_white(data: np.ndarray) -> np.ndarray:
     return np.concatenate((two, lead[three] + 2)) if len(lead) else two
 
 
-def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the parts of texts begin. ``offsets`` are the texts' beginnings in ``data`` and the last end."""
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+#: Bytes that are a sign or digit of one byte, before which a pattern that sets letters apart ends a run of them.
+SIGNS = ~_LETTERS & ~_BEFORE
+SIGNS[128:] = False
+NOWHERE = np.zeros(256, bool)
+
+
+def _behind_letters(data: np.ndarray) -> np.ndarray:
+    """For each byte but the first: whether a letter ends before it, of ASCII or of U+00C0 to U+017F."""
+    behind = _LETTERS[data[:-1]]
+    lead = np.flatnonzero((data[:-2] >= 0xC3) & (data[:-2] <= 0xC5)) if len(data) > 2 else data[:0]
+    if len(lead):
+        # \u00d7 and \u00f7 are signs.
+        behind[lead + 1] = (data[lead + 1] >= 0x80) & ((data[lead] > 0xC3) | ((data[lead + 1] & 0xDF) != 0x97))
+    return behind
+
+
+def part_starts(data: np.ndarray, offsets: np.ndarray, signs: np.ndarray = NOWHERE) -> np.ndarray:
+    """Where the parts of texts begin. ``offsets`` are the texts' beginnings in ``data`` and the last end,
+    ``signs`` the bytes before which a text may be cut behind a letter."""
     before = _BEFORE[data]
     if (data >= 0xC2).any():
         before[_wide_white(data)] = True
     cut = _WHITE[data]
     cut[1:] &= ~before[:-1]
+    if signs.any():
+        cut[1:] |= signs[data[1:]] & _behind_letters(data)
     cut[:1] = False
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     return np.flatnonzero(cut)
 
 
 class PartTable:
-    """Ids of parts by ``encode``, which gives those of a list of parts as little-endian 32-bit integers."""
-
-    def __init__(self, encode: Callable[[list[str]], Sequence[bytes]], most: int = 1 << 20):
-        self.encode, self.most = encode, most
+    """Ids of parts by ``encode``, which takes a list of parts and gives ids as unsigned 32-bit integers,
+    and where in them those of each part begin and how many they are. ``signs``: see :func:`part_starts`."""
+
+    def __init__(
+        self,
+        encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]],
+        most: int = 1 << 20,
+        signs: np.ndarray = NOWHERE,
+    ):
+        self.encode, self.most, self.signs = encode, most, signs
         self.bits = np.uint64(64 - max(4, (2 * most - 1).bit_length()))
         self.clear()
 
@@ -75,13 +103,11 @@ class PartTable:
 
     def _add(self, parts: list[bytes]) -> np.ndarray:
         """New entries for parts."""
-        found = self.encode([part.decode("utf-8", "replace") for part in parts])
-        counts = np.array([len(x) // 4 for x in found], np.int64)
+        ids, begins, counts = self.encode(parts)
         to = self.n + len(parts)
         self.begins, self.counts = self._room(self.begins, to), self._room(self.counts, to)
         self.counts[self.n : to] = counts
-        self.begins[self.n : to] = self.used + np.cumsum(counts) - counts
-        ids = np.frombuffer(b"".join(found), "<u4")
+        self.begins[self.n : to] = self.used + begins
         self.pool = self._room(self.pool, self.used + len(ids))
         self.pool[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
@@ -140,7 +166,7 @@ class PartTable:
         """The ids of all texts, one after the other, and where those of each text end."""
         if self.n > self.most or self.used > 16 * self.most:
             self.clear()
-        starts = part_starts(data, offsets)
+        starts = part_starts(data, offsets, self.signs)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         found, counts = [], np.zeros(len(starts) + 1, np.int64)
         for at in range(0, len(starts), _BLOCK):

@@ -10,6 +10,7 @@ changes the speed and never the ids.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterable
@@ -18,13 +19,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from chronotally.llm.part_table import PartTable
+from chronotally.llm.part_table import NOWHERE, SIGNS, PartTable
 from chronotally.llm.words import text_bytes
 
 _SIDE_BY_SIDE = re.compile(r" \s|\s ")
 _RUNS = re.compile(r"\s*\S+|\s+")
 _MOST = 800_000
 _LONGEST = 64
+# So many parts are joined for one call of the library; with longer calls it takes more time a part.
+_JOINED = 512
+
+
+def _ends_white(part: bytes) -> bool:
+    return part.decode("utf-8", "replace")[-1].isspace()
 
 
 def parts(text: str) -> list[str]:
@@ -72,32 +79,55 @@ class Library:
         self.sizes = np.array([*map(len, names)], np.int64)
         #: Tokens behind which a sentence or a line ends. "\u010a" stands for a line feed.
         self.ends_sentence = np.array([n[-1:] in (".", "!", "?") or "\u010a" in n for n in names])
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_parts(self, new: list[str]) -> list[bytes]:
-        """Ids of each part. Parts that begin with a blank and end in something else are encoded
-        joined, and their ids told apart by the bytes of the tokens."""
-        joined = [i for i, part in enumerate(new) if part[:1] == " " and not part[-1].isspace()]
-        out: list[bytes] = [b""] * len(new)
-        rest = sorted(set(range(len(new))) - set(joined))
-        for at in range(0, len(joined), 4096):
-            some = joined[at : at + 4096]
-            ids = self._ids(["".join([new[i] for i in some])])[0]
+        #: Bytes before which a text may be cut behind a letter.
+        self.signs = self._signs()
+
+    def _signs(self) -> np.ndarray:
+        """None where the file's own pattern is not known to set letters apart; not those inside a special token."""
+        form = json.loads(self.tokenizer.to_str())
+        split = form["pre_tokenizer"] or {}
+        apart = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        if not apart or form["normalizer"] or any(token["single_word"] for token in form["added_tokens"]):
+            return NOWHERE
+        signs = SIGNS.copy()
+        for token in form["added_tokens"]:
+            inside = token["content"]
+            signs[[ord(b) for a, b in zip(inside, inside[1:]) if a.isalpha() and b.isascii()]] = False
+        return signs
+
+    def _ids(self, parts: list[bytes]) -> list[np.ndarray]:
+        texts = [part.decode("utf-8", "replace") for part in parts]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_parts(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each part begin in them and how many they are. Parts that begin with a blank
+        and end in something else are encoded joined, and their ids told apart by the bytes of the tokens."""
+        joined, rest, found, used = [], [], [], 0
+        for i, part in enumerate(new):
+            last = part[-1]
+            (joined if part[0] == 32 and (32 < last < 127 or last > 127 and not _ends_white(part)) else rest).append(i)
+        begins, counts = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        for at in range(0, len(joined), _JOINED):
+            some = joined[at : at + _JOINED]
+            these = [new[i] for i in some]
+            ids = self._ids([b"".join(these)])[0]
             ends = np.cumsum(self.sizes[ids])
-            want = np.cumsum([len(new[i].encode()) for i in some])
+            want = np.cumsum([*map(len, these)])
             cut = np.searchsorted(ends, want)
             if len(ends) != cut[-1] + 1 or (ends[cut] != want).any():
                 rest += some
                 continue
-            for i, a, b in zip(some, [0, *(cut[:-1] + 1)], cut + 1):
-                out[i] = ids[a:b].tobytes()
+            counts[some] = np.diff(cut, prepend=-1)
+            begins[some] = used + np.concatenate(([0], cut[:-1] + 1))
+            found.append(ids)
+            used += len(ids)
         for at in range(0, len(rest), 1024):
             some = rest[at : at + 1024]
             for i, ids in zip(some, self._ids([new[i] for i in some])):
-                out[i] = ids.tobytes()
-        return out
+                begins[i], counts[i] = used, len(ids)
+                found.append(ids)
+                used += len(ids)
+        return np.concatenate(found) if found else np.zeros(0, np.uint32), begins, counts
 
 
 @lru_cache(2)
@@ -108,7 +138,7 @@ def library(path: str) -> Library:
 @lru_cache(2)  # a Python worker goes on with what it knows in its next task
 def id_encoder(path: str, **options) -> Callable[[pa.Array], list[np.ndarray]]:
     """A function from a column of texts (null: empty) to their ids, as unsigned 32-bit arrays."""
-    table = PartTable(library(path).encode_parts, **options)
+    table = PartTable(library(path).encode_parts, signs=library(path).signs, **options)
 
     def ids(texts: pa.Array) -> list[np.ndarray]:
         found, ends = table.ids(*text_bytes(texts))

@@ -1,14 +1,18 @@
 """Binary ids and packing."""
 
+import json
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers as tokenizers_files
 from tokenizers import Tokenizer
 
-from chronotally.llm import binary, packing
+from chronotally.llm import binary, packing, tokens
+from chronotally.llm.part_table import PartTable
+from chronotally.llm.words import text_bytes
 from chronotally.session import run_folder
 
 JSON = tokenizers_files.path("byte_bpe_50k.json")
@@ -119,3 +123,35 @@ def test_little_padding(spark):
     sizes = packing.pack(docs, JSON, end_id=0, with_ids=False).groupBy("sequence_id").sum("length").collect()
     total = sum(r[1] for r in sizes)
     assert sum(packing.padding(r[1], 1024) for r in sizes) < 0.01 * total
+
+
+def test_a_word_is_encoded_once_whatever_follows_it():
+    library, seen = tokens.Library(JSON), []
+    table = PartTable(lambda new: seen.extend(new) or library.encode_parts(new), signs=library.signs)
+    texts = ["a word, a word. a word; (a word) a word's word: café! café? café word9 x× x×."]
+    ids, ends = table.ids(*text_bytes(pa.array(texts)))
+    assert ids.tolist() == ids_of(texts[0])[:-1] and ends.tolist() == [len(ids)]
+    assert seen.count(b" word") == 1 and seen.count(" café".encode()) == 1 and len(seen) == len(set(seen))
+    assert not [part for part in seen if part.startswith((b" word", b" caf")) and part not in (b" word", " café".encode())]
+
+
+def test_ids_of_parts_cut_behind_letters():
+    draw, pieces = random.Random(6), ["a", "It", "Z", "é", "ß", "×", "÷", "ſ", "ƀ", "Δ", "́", "€", "ª",
+        ".", ",", "'s", "'re", "'", "'S", "(", "|", "_", "0", "12", "²", "\x00", "\x1f", "\x7f", " ", "  ", "\n", " ", "<|endoftext|>", "endoftext|>"]
+    texts = ["".join(draw.choices(pieces, k=draw.randrange(1, 14))) for _ in range(3000)]
+    own, encode = Tokenizer.from_file(JSON), tokens.id_encoder(JSON)
+    want = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encode(pa.array(texts))] == want
+
+
+@pytest.mark.parametrize("change", [
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}},
+    {"normalizer": {"type": "NFC"}},
+])
+def test_texts_are_cut_before_white_space_only_where_the_pattern_is_another(tmp_path, change):
+    with open(JSON) as file:
+        form = json.load(file) | change
+    (tmp_path / "own.json").write_text(json.dumps(form))
+    assert not tokens.Library(str(tmp_path / "own.json")).signs.any()
+    signs = tokens.Library(JSON).signs
+    assert signs[ord(".")] and signs[ord("<")] and not signs[ord("|")] and not signs[ord("a")]
