@@ -9,11 +9,15 @@ deterministic machine; states and their steps are made when a text first needs t
 to a bound.
 As soon as all places agree on a token it is emitted; a place lives no longer than the longest
 token, which bounds the lookahead. The work is linear in the text, for one word of a megabyte too.
+Short stretches that need a state beyond the bound go on with their places as they are, all such
+stretches of a slice of texts side by side, a byte at a time.
 
 **Decoding.** Each token moves a UTF-8 state machine. Text is given out up to the last token that
 ends between characters; the bytes behind it wait for the next ids. Bytes that are not UTF-8
 become U+FFFD.
 
+Bytes of a text that are not UTF-8 are encoded as U+FFFD.
+
 A null text counts as empty: no ids, and nothing decoded. Rows are coded one by one, so repeated
 rows, null ids, and empty tables need no rule of their own; an input column named like a result is
 replaced.
@@ -24,18 +28,26 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from chronotally.llm.part_table import NOWHERE, SIGNS, PartTable
 from chronotally.llm.tables import appended, extended, without
-from chronotally.llm.tokens import Memo, parts
-from chronotally.llm.words import slices
+from chronotally.llm.words import slices, text_bytes
 
 MOST_STATES = 20_000
+#: A pattern that sets letters apart from all that follows them.
+LETTERS_APART = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Stretches with no more bytes to go than that are moved side by side.
+_SIDE_BY_SIDE = 256
+# Odd multipliers; any would do.
+_SPREAD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)]
+_EMPTY = np.uint64(2**64 - 1)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,6 +68,9 @@ class Pairs:
         self.token = {rank: token for token, rank in ranks.items()}
         self.edges: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
         self.known: dict[tuple[int, int], bool] = {}
+        # Answers for arrays of pairs, two places for each pair: its tokens, and the answer in the last bit.
+        self.bits = np.uint64(64 - max(4, (2 * most - 1).bit_length()))
+        self.slots = np.full(1 << int(64 - self.bits), _EMPTY)
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes]:
         """The two parts that the last merge of a token joins."""
@@ -89,6 +104,27 @@ class Pairs:
             known = self.known[before, token] = self._allowed(before, token)
         return known
 
+    def allowed_all(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The same for arrays of tokens. A pair that has lost its place is looked at again."""
+        pairs = before.astype(np.uint64) << np.uint64(31) | token.astype(np.uint64)
+        code = pairs * _SPREAD[0]
+        code ^= code >> np.uint64(32)
+        places = [code * _SPREAD[1] >> self.bits, code * _SPREAD[0] >> self.bits]
+        found = self.slots[places[0]]
+        miss = np.flatnonzero(found >> np.uint64(1) != pairs)
+        found[miss] = self.slots[places[1][miss]]
+        miss = miss[found[miss] >> np.uint64(1) != pairs[miss]]
+        if len(miss):
+            _, first, which = np.unique(pairs[miss], return_index=True, return_inverse=True)
+            heads = miss[first]
+            may = np.array([*map(self._allowed, before[heads].tolist(), token[heads].tolist())], np.uint64)
+            new = pairs[heads] << np.uint64(1) | may
+            free = self.slots[places[0][heads]] == _EMPTY
+            self.slots[places[0][heads[free]]] = new[free]
+            self.slots[places[1][heads[~free]]] = new[~free]
+            found[miss] = new[which]
+        return found & np.uint64(1) == 1
+
     def _allowed(self, before: int, token: int) -> bool:
         left, right, i, k = self._edge(before, True), self._edge(token, False), 0, 0
         while True:
@@ -106,10 +142,10 @@ class Pairs:
 
 
 class Transducer:
-    """The machine of a rank table. ``encode`` gives the ids of one stretch of bytes.
+    """The machine of a rank table. ``encode`` gives the ids of one stretch of bytes, ``encode_all`` those of many.
 
     A place is the tokens not yet emitted and a trie node. Up to ``most_states`` states are made;
-    from there on a stretch that needs a new one goes on with its places as they are, to its end.
+    from there on a stretch that needs a new step goes on with its places as they are, to its end.
     """
 
     def __init__(self, ranks: dict[bytes, int], most_states: int = MOST_STATES):
@@ -119,6 +155,7 @@ class Transducer:
         self.children: dict[int, int] = {}
         self.complete: list[int | None] = [None]
         self.inner: list[bool] = [True]
+        self.depth: list[int] = [0]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
@@ -128,11 +165,13 @@ class Transducer:
                     self.children[key] = len(self.complete)
                     self.complete.append(None)
                     self.inner.append(False)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.children[key]
             self.complete[node] = rank
         self.number: dict[tuple, int] = {}
         self.states: list[tuple] = []
         self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        self.spread: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
         self._state((None, (((), 0),)))
 
     def _state(self, state: tuple) -> int | None:
@@ -186,25 +225,128 @@ class Transducer:
         ids += next(tokens for tokens, node in places if node == 0)
         return ids
 
-    def encode(self, piece: bytes) -> list[int]:
+    def _run(self, piece: bytes) -> tuple[list[int], int | None, int]:
+        """The ids of a stretch. If it needs a step that is not to be made: those emitted until then, the state, and
+        the bytes before."""
         ids: list[int] = []
         state, steps = 0, self.steps
         for k, byte in enumerate(piece):
             step = steps[state].get(byte)
             if step is None:
+                if len(self.states) >= self.most_states:
+                    return ids, state, k
                 emitted, places = self.states[state]
                 out, places = self._agreed(self._moved(emitted, places, byte))
-                emitted = out[-1] if out else emitted
-                to = self._state((emitted, tuple(places)))
-                if to is None:
-                    ids += out
-                    return self._rest(emitted, places, piece[k + 1 :], ids)
-                step = steps[state][byte] = to, out
+                step = steps[state][byte] = self._state((out[-1] if out else emitted, tuple(places))), out
             state, out = step
             if out:
                 ids += out
         ids += next(tokens for tokens, node in self.states[state][1] if node == 0)
-        return ids
+        return ids, None, len(piece)
+
+    def encode(self, piece: bytes) -> list[int]:
+        ids, state, k = self._run(piece)
+        return ids if state is None else self._rest(*self.states[state], piece[k:], ids)
+
+    def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all stretches, one after the other, and how many each has."""
+        found, late = [], []
+        for i, piece in enumerate(pieces):
+            ids, state, k = self._run(piece)
+            if state is not None:
+                if len(piece) - k <= _SIDE_BY_SIDE:
+                    late.append((i, state, k))
+                else:
+                    self._rest(*self.states[state], piece[k:], ids)
+            found.append(ids)
+        counts = np.array([*map(len, found)], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
+        if not late:
+            return ids, counts
+        which, states, ahead = map(np.array, zip(*late))
+        more, more_counts = self._side_by_side([pieces[i] for i in which.tolist()], states.tolist(), ahead)
+        ends = np.cumsum(counts)
+        return np.insert(ids, np.repeat(ends[which], more_counts), more), counts + np.bincount(which, more_counts, len(pieces)).astype(np.int64)
+
+    @cached_property
+    def _trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The trie as arrays: the row of each node in the table of children, that table, the tokens, inner nodes."""
+        inner = np.array(self.inner)
+        rows = np.cumsum(inner) - 1
+        table = np.zeros((int(inner.sum()), 256), np.int32)
+        keys = np.fromiter(self.children, np.int64, len(self.children))
+        table[rows[keys >> 8], keys & 255] = np.fromiter(self.children.values(), np.int32, len(keys))
+        return rows, table, np.array([-1 if rank is None else rank for rank in self.complete], np.int32), inner
+
+    def _spread(self, state: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The places of a state by how many bytes back they began, and their nodes; its tokens not emitted by how
+        many bytes back they ended, and their bytes; and how many bytes back the last emitted token ended."""
+        known = self.spread.get(state)
+        if known is None:
+            emitted, places = self.states[state]
+            begins, trail, back = [], {}, 0
+            for tokens, node in places:
+                back = self.depth[node]
+                begins.append((back, node))
+                for token in reversed(tokens):
+                    size = len(self.pairs.token[token])
+                    trail[back] = token, size
+                    back += size
+            trail[back] = -1 if emitted is None else emitted, 0
+            ended = np.array([(b, *t) for b, t in trail.items()], np.int64)
+            known = self.spread[state] = np.array(begins, np.int64), ended, back
+        return known
+
+    def _side_by_side(self, pieces: list[bytes], states: list[int], ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Go on with the places of ``states`` behind the first ``ahead`` bytes of each stretch, all stretches together:
+        the ids, one stretch after the other, and how many each has."""
+        rows, children, complete, inner = self._trie
+        data = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
+        sizes = np.array([*map(len, pieces)], np.int64)
+        end = np.cumsum(sizes + 1) - 1
+        at = end - sizes + ahead
+        # The token that ends at each place of the bytes, and its size. One at most ends there in a stretch.
+        last, size = np.full(len(data), -1, np.int64), np.zeros(len(data), np.int64)
+        begins, ended, back = zip(*map(self._spread, states))
+        first = at - back
+        of = np.repeat(np.arange(len(pieces)), [*map(len, ended)])
+        behind, tokens, token_sizes = np.concatenate(ended).T
+        last[at[of] - behind], size[at[of] - behind] = tokens, token_sizes
+        of = np.repeat(np.arange(len(pieces)), [*map(len, begins)])
+        behind, node = np.concatenate(begins).T
+        begin = at[of] - behind
+        while len(of):
+            here = at[of]
+            node = children[rows[node], data[here]]
+            there = np.flatnonzero(node)
+            of, begin, node, here = of[there], begin[there], node[there], here[there]
+            token = complete[node]
+            may = np.flatnonzero(token >= 0)
+            before = last[begin[may]]
+            some = np.flatnonzero(before >= 0)
+            some = some[~self.pairs.allowed_all(before[some], token[may[some]])]
+            may = np.delete(may, some)
+            ends = here[may] + 1
+            last[ends], size[ends] = token[may], ends - begin[may]
+            on = np.flatnonzero(inner[node])
+            of, begin = np.concatenate((of[on], of[may])), np.concatenate((begin[on], ends))
+            node = np.concatenate((node[on], np.zeros(len(may), node.dtype)))
+            at += 1
+            left = np.flatnonzero(at[of] < end[of])
+            of, begin, node = of[left], begin[left], node[left]
+        counts, found, at, live = np.zeros(len(pieces), np.int64), [], end.copy(), np.arange(len(pieces))
+        while len(live):
+            here = at[live]
+            if not size[here].all():
+                raise ValueError("a byte has no rank")
+            found.append((live, last[here]))
+            counts[live] += 1
+            at[live] -= size[here]
+            live = live[at[live] > first[live]]
+        ids, ends = np.zeros(int(counts.sum()), np.uint32), np.cumsum(counts)
+        for k, (live, tokens) in enumerate(found):
+            ids[ends[live] - 1 - k] = tokens
+        return ids, counts
 
 
 # The UTF-8 machine: 0 between characters, 1 to 3 bytes to come, 4 to 7 for leads whose next byte
@@ -284,17 +426,33 @@ def _machines(path: str) -> tuple[Transducer, Decoder]:
 
 @lru_cache(2)  # a Python worker goes on with what it knows in its next task
 def encoder(path: str, pattern: str, **options):
-    """A function from texts (null: empty) to ids as unsigned 32-bit arrays."""
+    """A function from a column of texts (null: empty) to their ids, as unsigned 32-bit arrays."""
     machine, _ = _machines(path)
     matches = regex.compile(pattern)
+    apart = pattern == LETTERS_APART
+
+    def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        pieces, sizes = [], []
+        for part in new:
+            if apart and (part[1:] if part[0] == 32 else part).isalpha():  # a word in ASCII is one match
+                pieces.append(part)
+                sizes.append(1)
+            else:
+                found = matches.findall(part.decode("utf-8", "replace"))
+                pieces += [one.encode() for one in found]
+                sizes.append(len(found))
+        ids, counts = machine.encode_all(pieces)
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]
+        counts = np.diff(ends, prepend=0)
+        return ids, ends - counts, counts
 
-    pieces = Memo(lambda new: (np.array(machine.encode(p.encode()), "<u4").tobytes() for p in new), 400_000)
+    table = PartTable(encode, signs=SIGNS if apart else NOWHERE, **options)
 
-    def encode(new: list[str]) -> Iterable[bytes]:
-        return map(b"".join, pieces.take([matches.findall(part) for part in new]))
+    def ids(texts: pa.Array) -> list[np.ndarray]:
+        found, ends = table.ids(*text_bytes(texts))
+        return np.split(found, ends[:-1]) if len(texts) else []
 
-    memo = Memo(encode, **options)
-    return lambda texts: [np.frombuffer(b"".join(x), "<u4") for x in memo.take([parts(t or "") for t in texts])]
+    return ids
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -306,7 +464,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         encode = encoder(path, pattern)
         for batch in batches:
             for part in slices(batch, text):
-                found = encode(part.column(text).to_pylist())
+                found = encode(part.column(text))
                 sizes = np.cumsum([0, *map(len, found)])
                 flat = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
                 yield appended(part, {"ids": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))})
@@ -342,7 +500,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "
         for batch in batches:
             for part in slices(batch, text):
                 rows = []
-                for one in encode(part.column(text).to_pylist()):
+                for one in encode(part.column(text)):
                     shown = hashlib.sha256(" ".join(map(decimal.__getitem__, one.tolist())).encode())
                     back = hashlib.sha256()
                     for piece in decoder.stream(one[k : k + (1 << 16)] for k in range(0, len(one), 1 << 16)):

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
@@ -22,8 +21,6 @@ import pyarrow as pa
 from chronotally.llm.part_table import NOWHERE, SIGNS, PartTable
 from chronotally.llm.words import text_bytes
 
-_SIDE_BY_SIDE = re.compile(r" \s|\s ")
-_RUNS = re.compile(r"\s*\S+|\s+")
 _MOST = 800_000
 _LONGEST = 64
 # So many parts are joined for one call of the library; with longer calls it takes more time a part.
@@ -34,13 +31,6 @@ def _ends_white(part: bytes) -> bool:
     return part.decode("utf-8", "replace")[-1].isspace()
 
 
-def parts(text: str) -> list[str]:
-    """``text`` cut where no token can cross."""
-    if _SIDE_BY_SIDE.search(text) or "\0" in text:
-        return _RUNS.findall(text)
-    return text.replace(" ", "\0 ").split("\0")
-
-
 class Memo:
     """Values of distinct parts, from a function that gives those of a list of parts. What was
     needed since the memory was last half full stays, the rest is forgotten."""

@@ -1,5 +1,6 @@
 """Words, quality rules, tokens and BPE."""
 
+import hashlib
 import random
 import re
 
@@ -233,6 +234,87 @@ def test_transducer_on_a_small_table():
         assert machine.encode(piece) == own.encode_single_piece(piece)
 
 
+def split(ids, counts):
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+@pytest.mark.parametrize("most_states", [1, 50, 20_000])
+def test_stretches_beyond_the_states_are_moved_side_by_side(most_states, monkeypatch):
+    machine, own = bpe.Transducer(bpe.read_ranks(RANKS), most_states), encoding()._core_bpe
+    draw = random.Random(4)
+    letters = [b"abcdefghij", b" ", b"-=*", bytes(range(256)), b"the ing and of re", b"ab", b"\0"]
+    pieces = [bytes(draw.choices(draw.choice(letters), k=draw.randrange(1, 40))) for _ in range(900)]
+    alone = []
+    monkeypatch.setattr(machine, "_rest", lambda *_: alone.append(_))
+    for some in (pieces[:1], pieces[1:500], pieces[500:]):
+        assert split(*machine.encode_all(some)) == [own.encode_single_piece(p) for p in some]
+    assert not alone and len(machine.states) <= most_states
+    assert [len(x) for x in machine.encode_all([])] == [0, 0]
+    monkeypatch.undo()
+    some = [b"ab" * 400, b"the", b"x" * 3000 + b"a"]
+    assert split(*machine.encode_all(some)) == [own.encode_single_piece(p) for p in some]
+
+
+def test_many_stretches_on_a_small_table():
+    ranks = {bytes([c]): c for c in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258, b"aa": 259, b"aab": 260}
+    own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+    draw = random.Random(2)
+    pieces = [bytes(draw.choices(b"abc", k=draw.randrange(1, 30))) for _ in range(500)]
+    for most_states in (1, 3, 100):
+        machine = bpe.Transducer(ranks, most_states)
+        assert split(*machine.encode_all(pieces)) == [own.encode_single_piece(p) for p in pieces]
+    with pytest.raises(ValueError):
+        bpe.Transducer({b"a": 0, b"b": 1}, 1).encode_all([b"acb"])
+
+
+@pytest.mark.parametrize("most", [1, 100, 100_000])
+def test_pairs_that_lost_their_place_are_looked_at_again(most):
+    ranks = bpe.read_ranks(RANKS)
+    one, all_ = bpe.Pairs(ranks), bpe.Pairs(ranks, most)
+    draw = np.random.default_rng(1)
+    for _ in range(3):
+        before, token = draw.integers(0, 300, 2000), draw.integers(0, 300, 2000)
+        assert all_.allowed_all(before, token).tolist() == [one.allowed(a, b) for a, b in zip(before.tolist(), token.tolist())]
+    assert all_.allowed_all(before[:0], token[:0]).tolist() == []
+
+
+def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    machine, seen = bpe._machines(RANKS)[0], []
+    encode_all = machine.encode_all
+    monkeypatch.setattr(machine, "encode_all", lambda new: seen.extend(new) or encode_all(new))
+    encode, own = bpe.encoder.__wrapped__(RANKS, tokenizers_files.PATTERN), encoding()
+    text = "a word, a word. (a word) a word's café! café? café 9"
+    assert encode(pa.array([text, None]))[0].tolist() == own.encode_ordinary(text)
+    assert seen.count(b" word") == 1 and seen.count(" café".encode()) == 1
+
+
+def test_ids_where_texts_are_cut_behind_letters():
+    draw, pieces = random.Random(6), ["a", "It", "Z", "é", "ß", "×", "÷", "ſ", "ƀ", "Δ", "\u0301", "€", "ª", ".", ",", "'s",
+        "'re", "'", "'S", "(", "|", "_", "0", "12", "²", "\x00", "\x1f", "\x7f", " ", "  ", "\n", "\n\n", "\xa0", "\u3000", "<|endoftext|>"]
+    texts = ["".join(draw.choices(pieces, k=draw.randrange(1, 14))) for _ in range(3000)]
+    found = bpe.encoder(RANKS, tokenizers_files.PATTERN)(pa.array(texts))
+    own = encoding()
+    assert [x.tolist() for x in found] == [own.encode_ordinary(t) for t in texts]
+    # Another pattern, which joins letters with what follows them.
+    other = r"\S+|\s+"
+    own = tiktoken.Encoding("own", pat_str=other, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = [" ".join(draw.choices(["it's", "a.b", "x|y", "word"], k=5)) for _ in range(50)]
+    assert [x.tolist() for x in bpe.encoder(RANKS, other)(pa.array(texts))] == [own.encode_ordinary(t) for t in texts]
+
+
+def test_digests_of_the_round_trip(spark):
+    texts, own = ODD + random_texts(100), encoding()
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    bad = docs.limit(1).selectExpr("-1L as doc_id", "cast(X'61ff62' as string) as text")
+    rows = {r.doc_id: r[1:] for r in bpe.round_trip_digests(docs.union(bad), RANKS, tokenizers_files.PATTERN).collect()}
+    want = {}
+    for i, text in [*enumerate(texts), (-1, "a\ufffdb")]:
+        ids, text = own.encode_ordinary(text or ""), text or ""
+        shown = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        want[i] = (len(ids), shown, hashlib.sha256(text.encode()).hexdigest())
+    assert rows == want
+
+
 def test_encoding_and_decoding_whole_texts(spark):
     texts = ODD + random_texts(100)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, IDS string")
